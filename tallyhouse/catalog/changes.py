@@ -1 +1,140 @@
-"""To be filled."""
+"""Row-level change: insert, update, delete, merge, merge on read, copy on write."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from tallyhouse.catalog.base import query
+from tallyhouse.operators import changes
+from tallyhouse.session import fresh_path
+from tallyhouse.sources.retail import Retail
+
+NEW_ID = 1_000_000_000
+BASE_SQL = """base as (select customer_id, name, loyalty_tier, total_purchases from cust),
+    supp as (select s_suppkey, s_name, cast(s_acctbal as decimal(18,2)) as balance from supplier)"""
+RESULT = "customer_id, name, loyalty_tier, cast(total_purchases as double) as total_purchases"
+
+
+def base(r: Retail) -> DataFrame:
+    return r.customers.select("customer_id", "name", "loyalty_tier", "total_purchases")
+
+
+def newcomers(r: Retail) -> DataFrame:
+    """Suppliers as new customers."""
+    return r.raw("supplier").select(
+        (F.col("s_suppkey") + NEW_ID).alias("customer_id"),
+        F.col("s_name").alias("name"),
+        F.lit("SUPPLIER").alias("loyalty_tier"),
+        F.col("s_acctbal").cast("decimal(18,2)").alias("total_purchases"),
+    )
+
+
+def replacements(r: Retail) -> DataFrame:
+    """Customers who also supply (same key in both tables), with the supplier's figures."""
+    return r.raw("supplier").select(
+        F.col("s_suppkey").alias("customer_id"),
+        F.col("s_name").alias("name"),
+        F.lit("SUPPLIER").alias("loyalty_tier"),
+        F.col("s_acctbal").cast("decimal(18,2)").alias("total_purchases"),
+    )
+
+
+@query(
+    "m01_insert",
+    f""", {BASE_SQL} select {RESULT} from base
+        union all select s_suppkey + {NEW_ID}, s_name, 'SUPPLIER', cast(balance as double) from supp""",
+    "cust",
+)
+def m01(r: Retail) -> DataFrame:
+    return changes.insert(base(r), newcomers(r))
+
+
+@query(
+    "m02_update_where",
+    """select customer_id, name, case when email <> '' and total_purchases > 5000 then 'PREMIUM'
+              else loyalty_tier end as loyalty_tier,
+              cast(case when email <> '' and total_purchases > 5000 then total_purchases + 100
+                   else total_purchases end as double) as total_purchases, email from cust""",
+    "cust",
+)
+def m02(r: Retail) -> DataFrame:
+    rows = r.customers.select("customer_id", "name", "loyalty_tier", "total_purchases", "email")
+    chosen = (F.col("email") != "") & (F.col("total_purchases") > 5000)
+    return changes.update_where(
+        rows, chosen, {"loyalty_tier": "PREMIUM", "total_purchases": F.col("total_purchases") + 100}
+    )
+
+
+@query(
+    "m03_update_all",
+    """select customer_id, name, 'INACTIVE' as loyalty_tier,
+              cast(total_purchases as double) as total_purchases from cust""",
+    "cust",
+)
+def m03(r: Retail) -> DataFrame:
+    return changes.update_where(base(r), F.lit(True), {"loyalty_tier": "INACTIVE"})
+
+
+@query(
+    "m04_delete_where",
+    """select order_id, order_status, cast(total_amount as double) as total_amount from patchy
+       where not coalesce(total_amount > 250000 and order_status = 'F', false)""",
+    "patchy",
+)
+def m04(r: Retail) -> DataFrame:
+    rows = r.patchy_orders.select("order_id", "order_status", "total_amount")
+    return changes.delete_where(
+        rows, (F.col("total_amount") > 250_000) & (F.col("order_status") == "F")
+    )
+
+
+@query(
+    "m05_merge",
+    f""", {BASE_SQL},
+        incoming as (select s_suppkey as k, s_name, balance from supp
+                     union all select s_suppkey + {NEW_ID}, s_name, balance from supp)
+        select coalesce(customer_id, k) as customer_id, coalesce(s_name, name) as name,
+               case when k is not null then 'SUPPLIER' else loyalty_tier end as loyalty_tier,
+               cast(coalesce(balance, total_purchases) as double) as total_purchases
+        from base full outer join incoming on customer_id = k""",
+    "cust",
+)
+def m05(r: Retail) -> DataFrame:
+    return changes.merge(base(r), replacements(r).unionByName(newcomers(r)), ["customer_id"])
+
+
+MOR_SQL = f""", {BASE_SQL}
+    select {RESULT} from base
+    where loyalty_tier <> 'BUILDING' and customer_id not in (select s_suppkey from supp)
+    union all select s_suppkey, s_name, 'SUPPLIER', cast(balance as double) from supp"""
+
+
+def deletions(r: Retail) -> DataFrame:
+    return base(r).where(F.col("loyalty_tier") == "BUILDING").select("customer_id")
+
+
+@query("m06_merge_on_read", MOR_SQL, "cust")
+def m06(r: Retail) -> DataFrame:
+    return changes.mor_read(base(r), deletions(r), replacements(r), ["customer_id"])
+
+
+@query("m07_copy_on_write", MOR_SQL, "cust")
+def m07(r: Retail) -> DataFrame:
+    path = fresh_path(r.spark, "customers-by-tier")
+    base(r).hint("rebalance", F.col("loyalty_tier")).write.partitionBy("loyalty_tier").parquet(path)
+    upserts = replacements(r)
+    deletes = base(r).join(deletions(r), "customer_id", "left_semi").join(
+        upserts.select("customer_id"), "customer_id", "left_anti"
+    )
+    delta = upserts.withColumn("op", F.lit("U")).unionByName(deletes.withColumn("op", F.lit("D")))
+    changes.cow_apply(r.spark, path, delta, ["customer_id"], "loyalty_tier")
+    return r.spark.read.schema(base(r).schema).parquet(path)
+
+
+@query("m08_materialize", MOR_SQL, "cust")
+def m08(r: Retail) -> DataFrame:
+    path = fresh_path(r.spark, "customers")
+    stored, deletes, upserts = changes.materialize(
+        r.spark, base(r), deletions(r), replacements(r), ["customer_id"], path
+    )
+    return changes.mor_read(stored, deletes, upserts, ["customer_id"])

@@ -1 +1,51 @@
-"""To be filled."""
+"""Streaming forms: the append loop as incremental ingestion, and daily sales on a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, functions as F
+
+from tallyhouse.catalog.base import query
+from tallyhouse.session import fresh_path
+from tallyhouse.sources.retail import Retail
+from tallyhouse.streaming.daily_sales import stream_daily_sales, write_stream
+from tallyhouse.streaming.ingest import ingest, read_files
+
+COLUMNS = ("order_id", "customer_id", "order_date", "order_status", "total_amount")
+
+
+def landed(r: Retail) -> tuple[str, DataFrame]:
+    """Orders as files that arrive one by one."""
+    path, rows = fresh_path(r.spark, "landing"), r.orders.select(*COLUMNS)
+    rows.repartition(4).write.parquet(path)
+    return path, rows
+
+
+@query(
+    "st1_incremental_ingest",
+    """select order_id, customer_id, order_date, order_status, cast(total_amount as double)
+       as total_amount from ord""",
+    "ord",
+)
+def st1(r: Retail) -> DataFrame:
+    source, rows = landed(r)
+    target, checkpoint = fresh_path(r.spark, "ingested"), fresh_path(r.spark, "ingest-state")
+    for _ in range(2):  # the second run finds nothing new
+        ingest(r.spark, source, target, checkpoint, rows.schema, files_per_batch=2).awaitTermination()
+    return r.spark.read.parquet(target).select(*COLUMNS)
+
+
+@query(
+    "st2_stream_daily_sales",
+    """select order_date, count(*) as total_orders, count(distinct customer_id) as unique_customers,
+              cast(sum(total_amount) as double) as total_revenue,
+              cast(sum(total_amount) as double) / count(*) as avg_order_value
+       from ord where order_date < (select max(order_date) from ord) group by 1""",
+    "ord",
+)
+def st2(r: Retail) -> DataFrame:
+    """The newest day is still open when the stream ends: its window is not yet passed."""
+    source, rows = landed(r)
+    daily = stream_daily_sales(read_files(r.spark, source, rows.schema), delay="0 seconds")
+    target = fresh_path(r.spark, "daily-sales")
+    write_stream(daily, target, fresh_path(r.spark, "daily-state")).awaitTermination()
+    return r.spark.read.parquet(target)

@@ -8,6 +8,7 @@ folder, never per data row.
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
@@ -50,7 +51,7 @@ def write_sorted(df: DataFrame, path: str, by: Sequence[str], sort: Sequence[str
 
 # --- inventory --------------------------------------------------------------
 
-def _plain_path(c: Column) -> Column:
+def plain_path(c: Column) -> Column:
     # A plus sign is a plain character in a path, but would be read as a blank.
     return F.url_decode(F.regexp_replace(c, r"\+", "%2B"))
 
@@ -69,7 +70,7 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     )
     counts = (
         spark.read.parquet(path)
-        .groupBy(_plain_path(F.col("_metadata.file_path")).alias("file_path"))
+        .groupBy(plain_path(F.col("_metadata.file_path")).alias("file_path"))
         .agg(F.count("*").alias("_rows"))
     )
     return sizes.join(counts, "file_path", "left").select(
@@ -183,7 +184,7 @@ def compact(
     plan = _compaction_plan(spark, path, target_bytes, min_input_files, every=bool(sort))
     source = spark.read.parquet(path)
     part_columns = [c for c in source.columns if any(f"/{c}=" in f for f, _, _ in plan)]
-    here = _folder(_plain_path(F.col("_metadata.file_path")))
+    here = _folder(plain_path(F.col("_metadata.file_path")))
     if where is not None:
         allowed = {r[0] for r in source.where(where).select(here).distinct().collect()}
         plan = [p for p in plan if p[0] in allowed]
@@ -197,7 +198,8 @@ def compact(
         first_slot.append((folder, slots, wanted))
         slots += wanted
     lookup = spark.createDataFrame(first_slot, "_folder string, _first int, _wanted int")
-    chosen = spark.read.parquet(*[folder for folder, _, _ in plan], basePath=root)
+    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", folder) for folder, _, _ in plan]  # no glob signs
+    chosen = spark.read.schema(source.schema).option("basePath", root).parquet(*literal)
     place = F.pmod(
         F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")), F.col("_wanted")
     )

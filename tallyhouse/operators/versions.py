@@ -18,6 +18,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyhouse.functions.expressions import instant
+from tallyhouse.session import fresh_path
 from tallyhouse.sources.writers import ctas
 
 LOG_COLUMNS = ("commit_id", "committed_at", "op")
@@ -102,28 +103,42 @@ def snapshots(log: DataFrame) -> DataFrame:
     )
 
 
+def lineage(snapshot_list: DataFrame, start: DataFrame) -> DataFrame:
+    """The start snapshots and all their ancestors.
+
+    Every round follows a jump table once and joins it with itself, so jumps double in length
+    and n generations take log2(n) rounds. Rounds are written to the shared folder: the plan
+    stays short, and a lost executor costs one round.
+    """
+    spark = snapshot_list.sparkSession
+
+    def written(df: DataFrame) -> DataFrame:
+        path = fresh_path(spark, "lineage")
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+
+    reached = start.select("snapshot_id")
+    jump = written(
+        snapshot_list.where(F.col("parent_id").isNotNull()).select("snapshot_id", "parent_id")
+    )
+    while not jump.isEmpty():
+        up = reached.join(jump, "snapshot_id").select(F.col("parent_id").alias("snapshot_id"))
+        reached = written(reached.unionByName(up).distinct())
+        onward = jump.select(F.col("snapshot_id").alias("parent_id"), F.col("parent_id").alias("_far"))
+        jump = written(
+            jump.join(onward, "parent_id").select("snapshot_id", F.col("_far").alias("parent_id"))
+        )
+    return reached
+
+
 def history(snapshot_list: DataFrame, pointers: DataFrame) -> DataFrame:
     """When each snapshot became current, and whether it is an ancestor of the current one.
 
     ``pointers`` has (made_current_at, snapshot_id), one row per move of the table's pointer.
-    The walk over parents runs on the commit list, one row per commit, never on data.
+    Only commit lists are joined here, one row per commit, never data.
     """
-    spark = snapshot_list.sparkSession
     current = pointers.agg(F.max_by("snapshot_id", "made_current_at").alias("snapshot_id"))
-    lineage = spark.sql(
-        """
-        WITH RECURSIVE line MAX RECURSION LEVEL 1000000 AS (
-            SELECT s.snapshot_id, s.parent_id
-            FROM {snapshots} s JOIN {current} c ON s.snapshot_id = c.snapshot_id
-            UNION ALL
-            SELECT s.snapshot_id, s.parent_id
-            FROM line JOIN {snapshots} s ON s.snapshot_id = line.parent_id
-        ) SELECT snapshot_id FROM line
-        """,
-        snapshots=snapshot_list,
-        current=current,
-    )
-    marked = lineage.distinct().withColumn("_line", F.lit(True))
+    marked = lineage(snapshot_list, current).withColumn("_line", F.lit(True))
     return (
         pointers.join(snapshot_list.select("snapshot_id", "parent_id"), "snapshot_id", "left")
         .join(marked, "snapshot_id", "left")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import datetime
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tallyhouse.functions.expressions import (
     amount_category, floor_band, instant, status_clean,
@@ -100,18 +101,21 @@ def run_layers(
 ) -> DataFrame:
     """Run all stages; one row per layer with its row count.
 
-    Counts are observed while writing. Gold reads the silver files just written: columnar,
-    column-pruned, and nothing has to stay in executor memory.
+    Gold reads the silver files just written: columnar, column-pruned, and nothing has to stay
+    in executor memory. Counts come from Parquet footers, not from a second run of a stage.
     """
-    seen = {layer: Observation(layer) for layer in ("bronze", "silver", "daily_sales", "segments")}
-    watched = lambda df, layer: df.observe(seen[layer], F.count(F.lit(1)).alias("rows"))
-    bronze = watched(bronze_orders(orders, source, at), "bronze")
-    silver = watched(silver_orders(bronze, bands), "silver")
-    write_partitioned(silver, f"{out}/silver_orders", ["order_year", "order_month"])
-    stored = spark.read.parquet(f"{out}/silver_orders")
-    daily = watched(gold_daily_sales(stored), "daily_sales")
-    write_partitioned(daily, f"{out}/gold_daily_sales", ["order_year", "order_month"])
-    segments = watched(gold_customer_segments(stored, floors), "segments")
-    segments.write.mode("overwrite").parquet(f"{out}/gold_customer_segments")
-    counts = [(layer, int(o.get["rows"])) for layer, o in seen.items()]
-    return spark.createDataFrame(counts, "layer string, rows bigint")
+    bronze = bronze_orders(orders, source, at)
+    paths = {layer: f"{out}/{layer}" for layer in ("silver_orders", "gold_daily_sales", "gold_customer_segments")}
+    parts = ["order_year", "order_month"]
+    write_partitioned(silver_orders(bronze, bands), paths["silver_orders"], parts)
+    silver = spark.read.parquet(paths["silver_orders"])
+    write_partitioned(gold_daily_sales(silver), paths["gold_daily_sales"], parts)
+    gold_customer_segments(silver, floors).write.mode("overwrite").parquet(
+        paths["gold_customer_segments"]
+    )
+    counted = {"bronze_orders": orders} | {layer: spark.read.parquet(p) for layer, p in paths.items()}
+    counts = [
+        df.agg(F.count("*").alias("rows")).select(F.lit(layer).alias("layer"), "rows")
+        for layer, df in counted.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)

@@ -22,7 +22,7 @@ def stream_daily_sales(
     count is exact, and a busy day is spread over its customers. Rows later than ``delay`` are
     dropped; a day is emitted once the watermark has passed its end.
     """
-    silver = silver_orders(stream, bands).withColumn("_at", F.col("order_date").cast("timestamp"))
+    silver = silver_orders(stream, bands).withColumn("_at", F.col("order_date").cast("timestamp_ltz"))
     per_customer = (
         silver.withWatermark("_at", delay)
         .groupBy(F.window("_at", "1 day").alias("_day"), "customer_id")
