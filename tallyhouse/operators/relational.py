@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from datetime import date
 from typing import Any
@@ -30,10 +31,15 @@ def last_days(df: DataFrame, column: str, days: int, as_of: date | str | None =
 # --- hot keys ---------------------------------------------------------------
 
 def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list[Any]:
-    """Keys that may hold at least ``share`` of the rows: one pass over one column, at most
-    1/share values come back."""
-    found = df.where(F.col(key).isNotNull()).select(key).stat.freqItems([key], share).first()
-    return sorted(found[0] or [])
+    """Keys holding about ``share`` of the rows or more, NULL among them.
+
+    One pass over one column; tasks send bounded sketches, and at most 1/share keys come back.
+    """
+    wanted = max(1, math.ceil(1 / share))
+    top, total = df.select(F.col(key).alias("k")).agg(
+        F.expr(f"approx_top_k(k, {wanted}, {max(10_000, 10 * wanted)})"), F.count("*")
+    ).first()
+    return [item["item"] for item in top or [] if item["count"] >= share * total]
 
 
 def split_join(
@@ -42,20 +48,21 @@ def split_join(
 ) -> DataFrame:
     """Equi-join whose hot keys are spread over ``salts`` tasks.
 
-    Rows of a hot key get a salt from a hash of the row; the matching lookup rows are repeated
-    once per salt. All other keys keep salt 0, so nothing else is copied. Which keys count as
-    hot changes only the routing, never the result. The list of hot keys is fetched first
-    because both sides must see the very same list.
+    Rows of a hot key, NULL included, get a salt from a hash of the row; the matching lookup rows
+    are repeated once per salt. All other keys keep salt 0, so nothing else is copied. Which keys
+    count as hot changes only the routing, never the result. The list of hot keys is fetched
+    first because both sides must see the very same list.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
-    hot = hot_keys(facts, key, share)
-    if not hot:
+    found = hot_keys(facts, key, share)
+    if not found:
         return facts.join(lookup, key, how)
+    hot = [k for k in found if k is not None]
     spread = F.pmod(F.xxhash64(*facts.columns), F.lit(salts)).cast("int")
     every = F.sequence(F.lit(0), F.lit(salts - 1))
-    is_hot = F.col(key).isin(hot)
-    left = facts.withColumn("_salt", F.when(is_hot, spread).otherwise(0))
+    is_hot = F.col(key).isin(hot) if hot else F.lit(False)
+    left = facts.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), spread).otherwise(0))
     right = lookup.withColumn(
         "_salt", F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0))))
     )
@@ -106,25 +113,33 @@ def left_join_stats(customers: DataFrame, orders: DataFrame, fill: Any = None) -
 
 
 def top_products(items: DataFrame, products: DataFrame, k: int = 10) -> DataFrame:
-    """Best sellers by revenue.
+    """Best sellers by revenue. Products sharing name, category and brand are one line.
 
-    The product table is joined first: by broadcast when its size allows, so that no item is
-    shuffled for it, else with hot products split. The only large shuffle left is the one of
-    the exact distinct count, on (line, order), which also spreads a hot product.
+    Every line gets its smallest product id as a short key. The sums fold inside every task. The
+    exact count of distinct orders is taken on its own: its shuffle carries (line, order) pairs
+    of numbers only and spreads a product sold in a third of all items over its orders.
     """
     line = ["product_name", "category", "brand"]
-    sold = items.select("product_id", "order_id", "quantity", "line_total", "unit_price")
-    totals = (
-        lookup_join(sold, products.select("product_id", *line), "product_id")
-        .groupBy(*line)
-        .agg(
-            F.countDistinct("order_id").alias("order_count"),
-            F.sum("quantity").alias("total_quantity_sold"),
-            F.sum("line_total").alias("total_revenue"),
-            mean(F.sum("unit_price"), F.count("unit_price")).alias("avg_unit_price"),
-        )
+    lines = products.groupBy(*line).agg(F.min("product_id").alias("_line"))
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"l.{c}")) for c in line]
+    line_of = products.alias("p").join(lines.alias("l"), same).select("p.product_id", "l._line")
+    columns = ("product_id", "order_id", "quantity", "line_total", "unit_price")
+    sold = lookup_join(items.select(*columns), line_of, "product_id")
+    sums = sold.groupBy("_line").agg(
+        F.sum("quantity").alias("total_quantity_sold"),
+        F.sum("line_total").alias("total_revenue"),
+        mean(F.sum("unit_price"), F.count("unit_price")).alias("avg_unit_price"),
+    )
+    order_counts = (
+        sold.select("_line", "order_id").distinct()
+        .groupBy("_line")
+        .agg(F.count("order_id").alias("order_count"))
+    )
+    totals = sums.join(order_counts, "_line")
+    named = lines.join(totals, "_line").select(
+        *line, "order_count", "total_quantity_sold", "total_revenue", "avg_unit_price"
     )
-    return totals.orderBy(F.desc_nulls_last("total_revenue"), *line).limit(k)
+    return named.orderBy(F.desc_nulls_last("total_revenue"), *line).limit(k)
 
 
 def sales_transactions(
@@ -174,15 +189,17 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner
 
 
 def bucket_table(df: DataFrame, key: str, buckets: int = 16, label: str = "bucketed") -> DataFrame:
-    """A table hashed into buckets by ``key`` and sorted by it inside each bucket.
+    """A table hashed into buckets by ``key`` and sorted by it inside each file.
 
-    The rows are shuffled on the bucket key first, so each bucket is one file rather than one
-    file per task.
+    Rows are first brought together per bucket, so a bucket is one file rather than one file per
+    task; a bucket too large for one task is split into several files.
     """
     spark = df.sparkSession
     name = fresh_name(label)
     (
-        df.repartition(buckets, key)
+        df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))
+        .hint("rebalance", F.col("_bucket"))
+        .drop("_bucket")
         .write.format("parquet")
         .bucketBy(buckets, key)
         .sortBy(key)
@@ -192,8 +209,17 @@ def bucket_table(df: DataFrame, key: str, buckets: int = 16, label: str = "bucke
     return spark.table(name)
 
 
-def bucket_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join of two tables bucketed alike: no shuffle on either side."""
+def bucket_join(
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_share: float | None = None
+) -> DataFrame:
+    """Join of two tables bucketed alike: no shuffle on either side.
+
+    A bucket is read by one task, which is wrong for a key that fills a bucket by itself. With
+    ``hot_share`` the left keys are looked at first (one pass over the key column), and if one
+    holds that share of the rows the join is shuffled with its hot keys split instead.
+    """
+    if hot_share is not None and hot_keys(left, key, hot_share):
+        return split_join(left, right, key, how)
     return left.hint("merge").join(right, key, how)
 
 

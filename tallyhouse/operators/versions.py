@@ -241,16 +241,16 @@ def expire(
     version reads as before.
     """
     commits = log.groupBy("commit_id").agg(F.min("committed_at").alias("at"))
-    newest = commits.orderBy(F.desc("commit_id")).limit(max(retain_last, 1))
-    kept = newest.select("commit_id").unionByName(
-        commits.where(F.col("at") >= instant(older_than)).select("commit_id")
+    place = F.row_number().over(W.orderBy(F.desc("commit_id")))  # over one row per commit
+    kept = commits.withColumn("_place", place).where(
+        (F.col("_place") <= max(retain_last, 1)) | (F.col("at") >= instant(older_than))
     )
-    oldest = kept.agg(F.min("commit_id")).scalar()
-    oldest_at = commits.where(F.col("commit_id") == oldest).agg(F.min("at")).scalar()
+    first = kept.agg(F.min(F.struct("commit_id", "at"))).scalar()
+    oldest = first["commit_id"]
     folded = as_of(log, keys, version=oldest).select(
         "*",
         oldest.alias("commit_id"),
-        oldest_at.alias("committed_at"),
+        first["at"].alias("committed_at"),
         F.lit("I").alias("op"),
     )
     return log.where(F.col("commit_id") > oldest).unionByName(folded)

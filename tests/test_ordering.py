@@ -121,7 +121,9 @@ def test_shares_sum_to_hundred(spark):
 def test_split_join_equals_join(spark):
     df, _ = skewed(spark)
     lookup = spark.createDataFrame([("hot", 1), ("hot", 2), ("a", 3), ("z", 4)], "grp string, w int")
-    assert rel.hot_keys(df, "grp")
+    assert "hot" in rel.hot_keys(df, "grp") and None in rel.hot_keys(df, "grp")
+    assert rel.hot_keys(df, "grp", 0.3) == ["hot"]
+    assert rel.hot_keys(df, "id") == []
     for how in ("inner", "left"):
         assert rows(rel.split_join(df, lookup, "grp", how, salts=5)) == rows(df.join(lookup, "grp", how))
 
