@@ -148,10 +148,11 @@ def cow_apply(
         raise RuntimeError("the staged rows differ from the merged ones; nothing was changed")
     kept = {r[0] for r in staged.select(part).distinct().collect()}
     emptied = [v for v in touched if v not in kept]
-    folder = F.regexp_replace(plain_path(F.col("_metadata.file_path")), "/[^/]+$", "")
-    stale = [
-        r[0] for r in base.where(F.col(part).isin(emptied)).select(folder).distinct().collect()
-    ] if emptied else []
+    stale = []
+    if emptied:
+        gone = base.where(F.col(part).isin(emptied)).select(F.col("_metadata.file_path").alias("f"))
+        folder = F.regexp_replace(plain_path(F.col("f")), "/[^/]+$", "")
+        stale = [r[0] for r in gone.distinct().select(folder).distinct().collect()]
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         part
     ).parquet(path)

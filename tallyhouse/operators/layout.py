@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.sources.storage import Storage
 
@@ -70,8 +70,9 @@ def file_inventory(spark: SparkSession, path: str) -> DataFrame:
     )
     counts = (
         spark.read.parquet(path)
-        .groupBy(plain_path(F.col("_metadata.file_path")).alias("file_path"))
+        .groupBy(F.col("_metadata.file_path").alias("_path"))
         .agg(F.count("*").alias("_rows"))
+        .select(plain_path(F.col("_path")).alias("file_path"), "_rows")  # once per file
     )
     return sizes.join(counts, "file_path", "left").select(
         "file_path",
@@ -139,24 +140,20 @@ def content_check(df: DataFrame) -> tuple[int, int]:
     return count, int(checksum)
 
 
-def _compaction_plan(
-    spark: SparkSession, path: str, target_bytes: int, min_input_files: int, every: bool
-) -> list[tuple[str, int, int]]:
-    """(folder, files, bytes) of the folders worth rewriting."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("pathGlobFilter", "*.parquet")
-        .option("recursiveFileLookup", True)
-        .load(path)
-        .select("path", "length")
-    )
-    per_folder = files.groupBy(_folder(F.col("path")).alias("folder")).agg(
-        F.count("*").alias("files"), F.sum("length").alias("bytes")
+LISTING = ("path", "modificationTime", "length", "content")
+
+
+def _groups(spark: SparkSession, path: str, where: Column | None) -> DataFrame:
+    """One row per partition folder: partition values, folder, files, bytes. A file listing only."""
+    listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    if where is not None:
+        listing = listing.where(where)
+    parts = [c for c in listing.columns if c not in LISTING]
+    return listing.groupBy(*parts).agg(
+        F.min(_folder(F.col("path"))).alias("_folder"),
+        F.count("*").alias("_files"),
+        F.sum("length").alias("_bytes"),
     )
-    needed = F.ceil(F.col("bytes") / target_bytes)
-    worthwhile = F.lit(True) if every else (F.col("files") > needed)
-    chosen = per_folder.where((F.col("files") >= min_input_files) & worthwhile)
-    return [tuple(r) for r in chosen.select("folder", "files", "bytes").collect()]
 
 
 def compact(
@@ -181,54 +178,59 @@ def compact(
         raise ValueError("strategy is binpack, or sort with at least one sort column")
     store = Storage(spark, path)
     root = store.full_path(path).rstrip("/")
-    plan = _compaction_plan(spark, path, target_bytes, min_input_files, every=bool(sort))
     source = spark.read.parquet(path)
-    part_columns = [c for c in source.columns if any(f"/{c}=" in f for f, _, _ in plan)]
-    here = _folder(plain_path(F.col("_metadata.file_path")))
-    if where is not None:
-        allowed = {r[0] for r in source.where(where).select(here).distinct().collect()}
-        plan = [p for p in plan if p[0] in allowed]
+    groups = _groups(spark, path, where)
+    parts = [c for c in groups.columns if c not in ("_folder", "_files", "_bytes")]
+    worthwhile = F.col("_files") >= min_input_files
+    if not sort:
+        worthwhile = worthwhile & (F.col("_files") > F.ceil(F.col("_bytes") / target_bytes))
+    plan = groups.where(worthwhile).collect()
     report_schema = "part string, files_before int, files_after int, bytes bigint"
     if not plan:
         return spark.createDataFrame([], report_schema)
 
-    first_slot, slots = [], 0
-    for folder, files, size in plan:
-        wanted = max(1, math.ceil(size / target_bytes))
-        first_slot.append((folder, slots, wanted))
+    slots, dealing = 0, []
+    for group in plan:
+        wanted = max(1, math.ceil(group["_bytes"] / target_bytes))
+        dealing.append((*[group[c] for c in parts], slots, wanted))
         slots += wanted
-    lookup = spark.createDataFrame(first_slot, "_folder string, _first int, _wanted int")
-    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", folder) for folder, _, _ in plan]  # no glob signs
+    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", group["_folder"]) for group in plan]  # no glob signs
     chosen = spark.read.schema(source.schema).option("basePath", root).parquet(*literal)
+    columns = chosen.columns
     place = F.pmod(
         F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")), F.col("_wanted")
     )
-    columns = chosen.columns
-    dealt = (
-        chosen.select(*columns, here.alias("_folder"), "_metadata")
-        .join(F.broadcast(lookup), "_folder")  # one row per folder of the plan
-        .withColumn("_slot", (F.col("_first") + place).cast("int"))
-    )
+    opened = chosen.select(*columns, "_metadata")
+    if parts:
+        schema = T.StructType([source.schema[c] for c in parts])
+        schema.add("_first", "integer").add("_wanted", "integer")
+        lookup = spark.createDataFrame(dealing, schema).alias("l")  # one row per folder of the plan
+        same = [F.col(f"c.{p}").eqNullSafe(F.col(f"l.{p}")) for p in parts]
+        opened = opened.alias("c").join(F.broadcast(lookup), same).select("c.*", "_first", "_wanted")
+    else:
+        opened = opened.withColumns({"_first": F.lit(0), "_wanted": F.lit(slots)})
+    dealt = opened.select(*columns, (F.col("_first") + place).cast("int").alias("_slot"))
     if strategy == "binpack":
         packed = dealt.repartitionById(slots, F.col("_slot")).select(*columns)
     else:
         # The slot comes last: it only breaks up runs of equal sort values.
-        keys = [*part_columns, *sort]
+        keys = [*parts, *sort]
         packed = (
             dealt.repartitionByRange(slots, *keys, "_slot").sortWithinPartitions(*keys).select(*columns)
         )
     staging, retired = (f"{root}/_{word}-{uuid.uuid4().hex}" for word in ("staging", "retired"))
-    packed.write.partitionBy(*part_columns).parquet(staging)
+    packed.write.partitionBy(*parts).parquet(staging)
     if content_check(chosen) != content_check(spark.read.schema(chosen.schema).parquet(staging)):
         store.remove(staging)
         raise RuntimeError("the rewritten rows differ from the old ones; nothing was changed")
 
     report = []
-    for folder, files, size in plan:
+    for group in plan:
+        folder = group["_folder"]
         inner = folder[len(root):]
         old, new = store.data_files(folder), store.data_files(staging + inner)
         replace_files(store, folder, old, new, retired + inner)
-        report.append((inner.lstrip("/"), len(old), len(new), size))
+        report.append((inner.lstrip("/"), len(old), len(new), group["_bytes"]))
     store.remove(staging)
     store.remove(retired)
     return spark.createDataFrame(report, report_schema)

@@ -7,7 +7,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+from tallyhouse.sources.storage import Storage
+
 _local_folders: dict[str, str] = {}
+_scratch: dict[str, list[str]] = {}
 
 
 def build_session(master: str = "local[8]", app: str = "tallyhouse", **extra: str) -> SparkSession:
@@ -50,8 +53,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path under the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/tallyhouse/{label}-{uuid.uuid4().hex}"
+    """A path under the shared folder that no other run uses.
+
+    Paths are grouped by application, so what a crashed job left behind can be told apart.
+    """
+    app = spark.sparkContext.applicationId
+    path = f"{shared_folder(spark)}/tallyhouse/{app}/{label}-{uuid.uuid4().hex}"
+    _scratch.setdefault(app, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every path ``fresh_path`` gave to this session; returns how many existed.
+
+    To be called once the results have been written: frames that read such a path end with it.
+    """
+    removed = 0
+    for path in _scratch.pop(spark.sparkContext.applicationId, []):
+        store = Storage(spark, path)
+        if store.exists(path):
+            store.remove(path)
+            removed += 1
+    return removed
 
 
 def fresh_name(label: str) -> str:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse import schemas, session
 from tallyhouse.functions import expressions as X
 from tallyhouse.sources import generators, readers, writers
+from tallyhouse.sources.storage import Storage
 from tallyhouse.streaming.daily_sales import stream_daily_sales, write_stream
 from tallyhouse.streaming.ingest import ingest, read_files
 from tests.conftest import SPARK_ERRORS, rows
@@ -31,6 +32,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.fresh_path(spark, "a") != session.fresh_path(spark, "a")
 
 
+def test_scratch_can_be_released(spark, monkeypatch):
+    monkeypatch.setattr(session, "_scratch", {})
+    kept, unused = session.fresh_path(spark, "kept"), session.fresh_path(spark, "unused")
+    spark.range(3).write.parquet(kept)
+    assert session.release_scratch(spark) == 1
+    assert not Storage(spark, kept).exists(kept)
+    assert session.release_scratch(spark) == 0
+
+
 def test_csv_that_does_not_fit_is_an_error(spark):
     path = session.fresh_path(spark, "csv")
     spark.createDataFrame([("1", "x"), ("oops", "y")], "id string, name string").write.option(
