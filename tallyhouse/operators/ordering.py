@@ -44,13 +44,21 @@ def _offsets(placed: DataFrame, weight: Column) -> DataFrame:
 def number_rows(df: DataFrame, order: Sequence[Column | str], name: str = "row_num") -> DataFrame:
     """Dense 1-based numbers in the given order. The order must end in a unique key: it makes
     the numbers repeatable and lets the range partitioning split any run of equal values."""
+    return numbered_and_total(df, order, name)[0]
+
+
+def numbered_and_total(
+    df: DataFrame, order: Sequence[Column | str], name: str
+) -> tuple[DataFrame, Column]:
+    """Numbered rows, and the row count as a scalar read from the footers of the placed rows."""
     placed = _placed(df, order)
     position = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)) + 1
-    return (
+    numbered = (
         placed.join(F.broadcast(_offsets(placed, F.lit(1))), _PART)
         .withColumn(name, F.col("_before") + position)
         .drop(_PART, _PLACE, "_before")
     )
+    return numbered, placed.agg(F.count("*")).scalar()
 
 
 def running_weight(

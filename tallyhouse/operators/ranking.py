@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tallyhouse.operators.ordering import number_rows
+from tallyhouse.operators.ordering import number_rows, numbered_and_total
 from tallyhouse.operators.relational import mean, top_k
 
 
@@ -80,8 +80,7 @@ def percentiles(df: DataFrame, by: str, key: str, tiles: int = 4) -> DataFrame:
 
     Rows are numbered by range; a value's rank is the smallest number among its rows.
     """
-    numbered = number_rows(df, [F.asc_nulls_last(by), F.asc(key)], "_row")
-    total = numbered.agg(F.count("*")).scalar()
+    numbered, total = numbered_and_total(df, [F.asc_nulls_last(by), F.asc(key)], "_row")
     ranks = numbered.groupBy(by).agg(F.min("_row").alias("_rank")).withColumnRenamed(by, "_value")
     joined = numbered.join(ranks, numbered[by].eqNullSafe(F.col("_value")))
     fraction = F.when(total > 1, (F.col("_rank") - 1) / (total - 1)).otherwise(F.lit(0.0))
