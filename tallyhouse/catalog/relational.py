@@ -28,8 +28,9 @@ ONE_YEAR = f"order_date >= date '{YEAR}-01-01' and order_date < date '{YEAR + 1}
 
 
 def one_year(r: Retail) -> DataFrame:
-    """Orders of one year: leaves customers without orders."""
-    return rel.between_dates(r.orders, "order_date", f"{YEAR}-01-01", f"{YEAR + 1}-01-01")
+    """Orders of one year: leaves customers without orders. The stored timestamp is compared, not
+    its cast to a date, so that the bounds reach the scan."""
+    return rel.between_dates(r.orders, "order_timestamp", f"{YEAR}-01-01", f"{YEAR + 1}-01-01")
 
 
 # --- projections and filters ------------------------------------------------
@@ -102,7 +103,7 @@ def p05(r: Retail) -> DataFrame:
     "ord",
 )
 def p06(r: Retail) -> DataFrame:
-    return rel.between_dates(r.orders, "order_date", "1997-03-01", "1997-06-01").select(
+    return rel.between_dates(r.orders, "order_timestamp", "1997-03-01", "1997-06-01").select(
         "order_id", "order_date"
     )
 
@@ -114,7 +115,7 @@ def p06(r: Retail) -> DataFrame:
     "ord",
 )
 def p07(r: Retail) -> DataFrame:
-    return rel.last_days(r.orders, "order_date", 90).select("order_id", "order_date")
+    return rel.last_days(r.orders, "order_timestamp", 90).select("order_id", "order_date")
 
 
 @query(
@@ -425,7 +426,7 @@ def a09(r: Retail) -> DataFrame:
 def a10(r: Retail) -> DataFrame:
     scopes = {
         "all": F.lit(True),
-        "one year": X.in_range("order_date", X.day(f"{YEAR}-01-01"), X.day(f"{YEAR + 1}-01-01")),
+        "one year": X.in_range("order_timestamp", X.day(f"{YEAR}-01-01"), X.day(f"{YEAR + 1}-01-01")),
         "large": F.col("total_amount") > 250_000,
     }
     parts = [

@@ -43,18 +43,21 @@ def hot_keys(df: DataFrame, key: str, share: float = 0.01) -> list[Any]:
 
 
 def split_join(
-    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", salts: int = 64,
+    facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner", salts: int | None = None,
     share: float = 0.01,
 ) -> DataFrame:
-    """Equi-join whose hot keys are spread over ``salts`` tasks.
+    """Equi-join whose hot keys are spread over ``salts`` tasks, by default all shuffle partitions.
 
     Rows of a hot key, NULL included, get a salt from a hash of the row; the matching lookup rows
-    are repeated once per salt. All other keys keep salt 0, so nothing else is copied. Which keys
-    count as hot changes only the routing, never the result. The list of hot keys is fetched
-    first because both sides must see the very same list.
+    (one per key in a lookup table) are repeated once per salt, for at most 1/share keys. All
+    other keys keep salt 0, so nothing else is copied. Which keys count as hot changes only the
+    routing, never the result. The list of hot keys is fetched first because both sides must see
+    the very same list. The salt is repeatable, so a recomputed task sends the same rows to the
+    same place; rows equal in every column share it, and adaptive execution may split those.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
+    salts = salts or int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = hot_keys(facts, key, share)
     if not found:
         return facts.join(lookup, key, how)

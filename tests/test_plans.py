@@ -66,6 +66,8 @@ def test_month_filter_in_december():
 def test_filters_and_columns_reach_the_scan(retail):
     plan = final_plan(rel.between_dates(retail.raw("orders"), "o_orderdate", "1998-01-01", "1999-01-01").select("o_orderkey"))
     assert "GreaterThanOrEqual(o_orderdate" in plan
+    viewed = final_plan(rel.between_dates(retail.orders, "order_timestamp", "1998-01-01", "1999-01-01"))
+    assert "LessThan(o_orderdate" in viewed
     schema = re.search(r"ReadSchema: struct<(.*?)>", plan).group(1)
     assert "o_totalprice" not in schema
 
