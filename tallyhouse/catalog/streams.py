@@ -47,5 +47,6 @@ def st2(r: Retail) -> DataFrame:
     source, rows = landed(r)
     daily = stream_daily_sales(read_files(r.spark, source, rows.schema), delay="0 seconds")
     target = fresh_path(r.spark, "daily-sales")
-    write_stream(daily, target, fresh_path(r.spark, "daily-state")).awaitTermination()
+    state, slots = fresh_path(r.spark, "daily-state"), r.spark.sparkContext.defaultParallelism
+    write_stream(daily, target, state, state_partitions=slots).awaitTermination()
     return r.spark.read.parquet(target)

@@ -42,12 +42,27 @@ def stream_daily_sales(
     )
 
 
-def write_stream(daily: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
-    return (
+def write_stream(
+    daily: DataFrame, target: str, checkpoint: str, state_partitions: int | None = None
+) -> StreamingQuery:
+    """Append finished days to Parquet files, process what is there, then stop.
+
+    The number of state partitions is fixed by the first run of a checkpoint, so it is stated
+    here rather than left to whatever the session's batch jobs use.
+    """
+    writer = (
         daily.writeStream.format("parquet")
         .option("path", target)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
-        .start()
     )
+    if state_partitions is None:
+        return writer.start()
+    conf, setting = daily.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(setting)
+    conf.set(setting, state_partitions)  # the query takes a copy of the settings when it starts
+    try:
+        return writer.start()
+    finally:
+        conf.set(setting, before)
