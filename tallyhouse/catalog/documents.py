@@ -32,7 +32,7 @@ def catalogs(r: Retail) -> DataFrame:
 @query(
     "x01_xml_rows",
     """select product_id // 4 as catalog, product_id, product_name as name, category,
-              cast(price as double) as price, 'USD' as currency, stock_quantity as stock from prod""",
+              cast(price as double) as price, 'USD' as currency, stock_quantity::bigint as stock from prod""",
     "prod",
 )
 def x01(r: Retail) -> DataFrame:

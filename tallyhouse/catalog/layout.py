@@ -139,8 +139,8 @@ def l09(r: Retail) -> DataFrame:
 
 @query(
     "l10_file_health",
-    """select order_status as part, 12 as files, 1.0::double as small_share, 12 as too_small,
-              0 as optimal, 0 as too_large, true as advise from ord group by 1""",
+    """select order_status as part, 12::bigint as files, 1.0::double as small_share, 12::bigint as too_small,
+              0::bigint as optimal, 0::bigint as too_large, true as advise from ord group by 1""",
     "ord",
 )
 def l10(r: Retail) -> DataFrame:

@@ -165,7 +165,7 @@ def p11(r: Retail) -> DataFrame:
 
 @query(
     "p12_line_total",
-    """select order_id, product_id, quantity, cast(discount_percent as double) as discount_percent,
+    """select order_id, product_id, quantity::bigint as quantity, cast(discount_percent as double) as discount_percent,
               cast(cast(unit_price * quantity * ((100 - discount_percent) * 0.01)
                    as decimal(18,2)) as double) as total from item""",
     "item",
@@ -243,7 +243,7 @@ def transactions(r: Retail) -> DataFrame:
 @query(
     "j06_sales_transactions",
     f"""select row_number() over (order by order_id, {', '.join(ITEM_ORDER)}) as transaction_id,
-               customer_id, product_id, quantity, cast(unit_price as double) as unit_price,
+               customer_id, product_id, quantity::bigint as quantity, cast(unit_price as double) as unit_price,
                cast(line_total as double) as total_amount, order_date as transaction_date,
                year(order_date) as transaction_year, month(order_date) as transaction_month,
                strftime(order_timestamp, '%Y-%m-%d %H:%M:%S') as transaction_timestamp
@@ -674,7 +674,7 @@ def t05(r: Retail) -> DataFrame:
 
 @query(
     "t06_union_all",
-    """select 'customer' as kind, c_custkey as id, c_nationkey as nation from customer
+    """select 'customer' as kind, c_custkey as id, c_nationkey::bigint as nation from customer
        union all select 'supplier', s_suppkey, s_nationkey from supplier""",
 )
 def t06(r: Retail) -> DataFrame:

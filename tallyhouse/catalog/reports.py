@@ -218,7 +218,8 @@ def e15(r: Retail) -> DataFrame:
 
 @query(
     "e17_inventory_status",
-    """select product_id, product_name, stock_quantity, reorder_level,
+    """select product_id, product_name, stock_quantity::bigint as stock_quantity,
+              reorder_level::bigint as reorder_level,
               case when stock_quantity = 0 then 'Out of Stock' when stock_quantity < reorder_level
                    then 'Low Stock' else 'In Stock' end as status
        from (select product_id, product_name, case when product_id % 9 = 0 then 0 else stock_quantity end

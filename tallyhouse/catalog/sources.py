@@ -44,7 +44,7 @@ def s02(r: Retail) -> DataFrame:
     return readers.read_csv(r.spark, path, rows.schema)
 
 
-@query("s03_read_parquet", "select * from part")
+@query("s03_read_parquet", "select * replace (p_size::bigint as p_size) from part")
 def s03(r: Retail) -> DataFrame:
     return readers.read_parquet(r.spark, f"{r.folder}/part.parquet")
 
@@ -74,7 +74,7 @@ def s05(r: Retail) -> DataFrame:
 
 @query(
     "s06_csv_to_parquet",
-    """select 'customers' as file, 'SUCCESS' as status, count(*) as rows, 7 as cols from cust
+    """select 'customers' as file, 'SUCCESS' as status, count(*) as rows, 7::bigint as cols from cust
        union all select 'products', 'SUCCESS', count(*), 6 from prod""",
     "cust prod",
 )
@@ -264,7 +264,7 @@ def s17(r: Retail) -> DataFrame:
 
 @query(
     "s18_append_commits",
-    """select case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end as commit_id,
+    """select case o_orderstatus when 'F' then 1 when 'O' then 2 else 3 end::bigint as commit_id,
               count(*) as rows from orders group by 1""",
 )
 def s18(r: Retail) -> DataFrame:
@@ -294,7 +294,7 @@ def s20(r: Retail) -> DataFrame:
 @query(
     "d01_typed_table",
     """select order_id, customer_id, order_date, order_status,
-              cast(total_amount as double) as total_amount, null as payment_method,
+              cast(total_amount as double) as total_amount, null::varchar as payment_method,
               strftime(order_timestamp, '%Y-%m-%d %H:%M:%S') as order_timestamp from ord""",
     "ord",
 )
@@ -313,7 +313,7 @@ def d01(r: Retail) -> DataFrame:
 
 @query(
     "d02_nested_columns",
-    """select p_partkey as product_id, p_brand as brand_spec, null as missing_spec,
+    """select p_partkey as product_id, p_brand as brand_spec, null::varchar as missing_spec,
               p_type = 'SMALL' as has_small, p_size * 2.0::double * 0.5::double as volume from part""",
 )
 def d02(r: Retail) -> DataFrame:

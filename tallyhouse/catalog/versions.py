@@ -138,7 +138,7 @@ def v08(r: Retail) -> DataFrame:
     f"""select order_id, case change when 'D' then old_customer_id else new_customer_id end as customer_id,
                case change when 'D' then old_status else new_status end as status,
                cast(case change when 'D' then old_amount else new_amount end as double) as amount,
-               11 as commit_id, '2024-02-01 00:00:00' as committed_at, change as op
+               11::bigint as commit_id, '2024-02-01 00:00:00' as committed_at, change as op
         from ({diff_sql('true', 'commit_id <= 5')})""",
     "log",
 )
