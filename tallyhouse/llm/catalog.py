@@ -1,4 +1,6 @@
 """All corpus queries; importing this module registers them."""
 
-from tallyhouse.llm import line_dedup, substring_dedup  # noqa: F401
+from tallyhouse.llm import (  # noqa: F401
+    byte_pairs, line_dedup, line_quality, substring_dedup, toxicity,
+)
 from tallyhouse.llm.common import QUERIES, SQL  # noqa: F401
