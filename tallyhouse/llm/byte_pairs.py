@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,23 +27,23 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse.llm.common import documents, query, typed
 from tallyhouse.llm.packing import texts_of
 
-LONG_PIECE, CACHED_PIECES, BATCH_BYTES = 160, 400_000, 6 << 20
+LONG_PIECE, KNOWN_PIECES, BATCH_BYTES = 160, 600_000, 8 << 20
 
 CONTRACT = """
 with recursive t(w, p, id, c, step) as (
-  select l.w, l.p, l.id, m.c, 0
-  from base l left join base r on r.w = l.w and r.p = l.p + 1 left join merges m on ab = (l.id << 32) | r.id
+  select l.w, l.p, l.id, m.c, 0::integer
+  from base l left join base r on r.w = l.w and r.p = l.p + 1 left join merges m on ab = (l.id::bigint << 32) | r.id
   union all
   select * from (
     with best as (
-      select w, best // 65536 as c, (best % 65536)::integer as q
-      from (select w, min(c * 65536 + p) as best from t where c is not null group by w)),
+      select w, (best // 65536)::integer as c, (best % 65536)::integer as q
+      from (select w, min(c::bigint * 65536 + p) as best from t where c is not null group by w)),
     around as (
       select x.w, x.c, x.q, bm.c as before, am.c as after
       from best x left join t b on b.w = x.w and b.p = x.q - 1 left join t a on a.w = x.w and a.p = x.q + 2
-           left join merges bm on bm.ab = (b.id << 32) | x.c left join merges am on am.ab = (x.c << 32) | a.id)
+           left join merges bm on bm.ab = (b.id::bigint << 32) | x.c left join merges am on am.ab = (x.c::bigint << 32) | a.id)
     select s.w, s.p - (s.p > y.q)::integer, case when s.p = y.q then y.c else s.id end,
-           case when s.p = y.q then y.after when s.p = y.q - 1 then y.before else s.c end, s.step + 1
+           case when s.p = y.q then y.after when s.p = y.q - 1 then y.before else s.c end, (s.step + 1)::integer
     from t s join around y on s.w = y.w where s.p <> y.q + 1))
 select t.w, t.id from t join (select w, max(step) as step from t group by w) f on t.w = f.w and t.step = f.step
 order by t.w, t.p
@@ -98,7 +100,10 @@ class Vocabulary:
 
 
 class Encoder:
-    """The pieces that a task has met, and DuckDB for those it has not."""
+    """The pieces that a task has met, and DuckDB for those it has not.
+
+    A piece is a number; the ids of piece k are ``pool[start[k] : start[k] + length[k]]``.
+    """
 
     def __init__(self, vocabulary: Vocabulary, pattern: str):
         import duckdb
@@ -107,31 +112,48 @@ class Encoder:
         # White_Space as a property: Python's own \s takes four control characters more.
         pattern = pattern.replace(r"[^\s", r"[^\p{White_Space}").replace(r"\S", r"\P{White_Space}")
         self.split = regex.compile(pattern.replace(r"\s", r"\p{White_Space}")).findall
-        self.vocabulary, self.known = vocabulary, {}
-        self.single = np.array([vocabulary.ranks[bytes([b])] for b in range(256)], dtype=np.int64)
+        self.vocabulary = vocabulary
+        self.single = np.array([vocabulary.ranks[bytes([b])] for b in range(256)], dtype=np.int32)
         self.duck = duckdb.connect(config={"threads": 1, "memory_limit": "400MB"})
-        self.duck.register("pairs", pa.table({"ab": vocabulary.pairs, "c": vocabulary.merged}))
+        self.duck.register("pairs", pa.table({"ab": vocabulary.pairs, "c": vocabulary.merged.astype(np.int32)}))
         self.duck.execute("create table merges as select * from pairs")
         self.duck.unregister("pairs")
+        self.forget()
+
+    def forget(self) -> None:
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.pool = np.zeros(0, dtype="<u4")
+        self.length = np.zeros(0, dtype=np.int64)
 
     def learn(self, pieces: list[str]) -> None:
-        short: list[tuple[int, str, bytes]] = []
-        for piece in pieces:
-            data = piece.encode()
-            rank = self.vocabulary.ranks.get(data)
-            if rank is not None:
-                self.known[piece] = rank.to_bytes(4, "little")
-            elif len(data) > LONG_PIECE:
-                self.known[piece] = np.array(self.vocabulary.merge_long(data), dtype="<u4").tobytes()
-            else:
-                short.append((len(data), piece, data))
-        short.sort()
+        """Add the ids of the next pieces in the order of their numbers."""
+        data = [p.encode() for p in pieces]
+        size = np.fromiter(map(len, data), dtype=np.int64, count=len(data))
+        rank = np.fromiter((self.vocabulary.ranks.get(d, -1) for d in data), dtype=np.int64, count=len(data))
+        length = np.ones(len(data), dtype=np.int64)
+        whose, ids = [np.flatnonzero(rank >= 0)], [rank[rank >= 0]]
+        for k in np.flatnonzero((rank < 0) & (size > LONG_PIECE)).tolist():
+            long = self.vocabulary.merge_long(data[k])
+            length[k] = len(long)
+            whose.append(np.full(len(long), k))
+            ids.append(np.array(long))
+        short = np.flatnonzero((rank < 0) & (size <= LONG_PIECE))
+        short = short[np.argsort(size[short], kind="stable")]
         for at in range(0, len(short), 100_000):
-            self.contract(short[at : at + 100_000])
-
-    def contract(self, pieces: list[tuple[int, str, bytes]]) -> None:
-        blob = np.frombuffer(b"".join(p[2] for p in pieces), dtype=np.uint8)
-        lengths = np.array([p[0] for p in pieces], dtype=np.int64)
+            part = short[at : at + 100_000]
+            owner, found = self.contract([data[k] for k in part.tolist()])
+            length[part] = np.bincount(owner, minlength=len(part))
+            whose.append(part[owner])
+            ids.append(found)
+        order = np.argsort(np.concatenate(whose), kind="stable")
+        self.pool = np.concatenate([self.pool, np.concatenate(ids)[order].astype("<u4")])
+        self.length = np.concatenate([self.length, length])
+
+    def contract(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The number of the piece and the id, for all tokens of the pieces in order."""
+        blob = np.frombuffer(b"".join(pieces), dtype=np.uint8)
+        lengths = np.fromiter(map(len, pieces), dtype=np.int64, count=len(pieces))
         starts = np.cumsum(lengths) - lengths
         self.duck.register("base", pa.table({
             "w": np.repeat(np.arange(len(pieces), dtype=np.int32), lengths),
@@ -140,21 +162,27 @@ class Encoder:
         }))
         rows = self.duck.execute(CONTRACT).fetchnumpy()
         self.duck.unregister("base")
-        ids = rows["id"].astype("<u4").tobytes()
-        ends = 4 * np.searchsorted(rows["w"], np.arange(len(pieces) + 1))
-        for (_, piece, _), a, b in zip(pieces, ends[:-1].tolist(), ends[1:].tolist()):
-            self.known[piece] = ids[a:b]
+        return rows["w"], rows["id"]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [self.split(t) for t in texts]
-        if len(self.known) > CACHED_PIECES:
-            self.known.clear()
-        new = set().union(*split) - self.known.keys()
+        if len(self.number) > KNOWN_PIECES:
+            self.forget()
+        codes = []
+        for text in texts:
+            pieces = self.split(text)
+            codes.append(np.fromiter(map(self.number.__getitem__, pieces), dtype=np.int32, count=len(pieces)))
+        new = list(islice(self.number, len(self.length), None))
         if new:
-            self.learn(list(new))
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in split]
+            self.learn(new)
+        start = np.cumsum(self.length) - self.length
+        out = []
+        for code in codes:
+            length = self.length[code]
+            ends = np.cumsum(length)
+            shift = np.repeat(start[code] - (ends - length), length)
+            out.append(self.pool[shift + np.arange(len(shift))].tobytes())
+        return out
 
 
 def _small(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
