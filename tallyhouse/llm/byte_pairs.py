@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tallyhouse.llm.common import documents, query, typed
 from tallyhouse.llm.packing import texts_of
 
-LONG_PIECE, KNOWN_PIECES, BATCH_BYTES = 160, 600_000, 8 << 20
+LONG_PIECE, KNOWN_PIECES, BATCH_BYTES = 160, 600_000, 4 << 20
 
 CONTRACT = """
 with recursive t(w, p, id, c, step) as (
@@ -140,8 +140,8 @@ class Encoder:
             ids.append(np.array(long))
         short = np.flatnonzero((rank < 0) & (size <= LONG_PIECE))
         short = short[np.argsort(size[short], kind="stable")]
-        for at in range(0, len(short), 100_000):
-            part = short[at : at + 100_000]
+        for at in range(0, len(short), 60_000):
+            part = short[at : at + 60_000]
             owner, found = self.contract([data[k] for k in part.tolist()])
             length[part] = np.bincount(owner, minlength=len(part))
             whose.append(part[owner])

@@ -31,7 +31,16 @@ def _byte_values(seed: int) -> np.ndarray:
 
 
 _VALUES = [_byte_values(0), _byte_values(1)]
-_POWERS: dict[int, np.ndarray] = {}
+
+
+class _Tables(dict):
+    """Powers by base, made where they are needed: a copy that travels to a task is empty."""
+
+    def __reduce__(self):
+        return _Tables, ()
+
+
+_POWERS = _Tables()
 
 
 def _powers(base: int, n: int) -> np.ndarray:
