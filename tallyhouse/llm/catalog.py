@@ -1,6 +1,6 @@
 """All corpus queries; importing this module registers them."""
 
 from tallyhouse.llm import (  # noqa: F401
-    byte_pairs, line_dedup, line_quality, shingle_join, substring_dedup, toxicity,
+    byte_pairs, decontamination, line_dedup, line_quality, shingle_join, substring_dedup, toxicity,
 )
 from tallyhouse.llm.common import QUERIES, SQL  # noqa: F401
