@@ -34,8 +34,8 @@ from tallyhouse.llm.common import documents, integer, query, stored, typed
 from tallyhouse.llm.components import contracted
 from tallyhouse.llm.rolling import mix, shingle_sets
 
-CELL_BITS, SLICE_BITS, BLOCK_BYTES, POSTINGS_PER_PART, NEEDED_BITS = 20, 14, 2 << 20, 1 << 21, 21
-HUB_ROUNDS, PAIRS_PER_POSTING, SPARE = 4, 4, 20
+CELL_BITS, SLICE_BITS, BLOCK_BYTES, POSTINGS_PER_PART, NEEDED_BITS = 24, 16, 2 << 20, 1 << 21, 21
+HUB_ROUNDS, PAIRS_PER_POSTING, SPARE = 3, 4, 20
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
@@ -53,30 +53,33 @@ def _blocks(batches: Iterator[pa.RecordBatch]):
 
 
 def frequency_sketch(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents per cell of shingles (2**CELL_BITS cells whatever the corpus is) and their sum."""
+    """A frequency class (eighths of a power of two) per cell of shingles, and the number of shingles.
+
+    The sketch has 2**CELL_BITS cells whatever the corpus is; a class is one byte."""
 
     def count(batches):
-        cells = np.zeros(1 << CELL_BITS, dtype=np.int64)
+        cells = np.zeros(1 << CELL_BITS, dtype=np.int32)
         for texts, _ in _blocks(batches):
             found = np.concatenate(shingle_sets(texts))
-            cells += np.bincount((found >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=len(cells))
-        parts = np.split(cells, len(cells) >> SLICE_BITS)
-        yield pa.record_batch({
-            "slice": pa.array(range(len(parts)), pa.int32()),
-            "body": pa.array([packing.pack_numbers(p) for p in parts], pa.binary()),
-        })
+            np.add.at(cells, (found >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
+        for k, part in enumerate(np.split(cells, len(cells) >> SLICE_BITS)):
+            if part.any():
+                yield pa.record_batch({
+                    "slice": pa.array([k], pa.int32()), "body": pa.array([packing.pack_numbers(part)], pa.binary()),
+                })
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(packing.unpack_numbers(b, np.int64) for b in group["body"])
-        return pd.DataFrame({"slice": group["slice"][:1], "body": [packing.pack_numbers(total)]})
+        total = sum(packing.unpack_numbers(b, np.int32).astype(np.int64) for b in group["body"])
+        classes = np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8)
+        return pd.DataFrame({"slice": group["slice"][:1], "body": [packing.squeeze(classes.tobytes())], "n": [total.sum()]})
 
-    schema = "slice int, body binary"
+    merged = rows.mapInArrow(count, "slice int, body binary").groupBy("slice")
+    cells, total = np.zeros((1 << CELL_BITS - SLICE_BITS, 1 << SLICE_BITS), dtype=np.uint8), 0
     # Bounded: one row per slice of a sketch of fixed size.
-    merged = {r.slice: r.body for r in rows.mapInArrow(count, schema).groupBy("slice").applyInPandas(add, schema).collect()}
-    if not merged:
-        return np.zeros(1 << CELL_BITS, dtype=np.int64), 0
-    cells = np.concatenate([packing.unpack_numbers(merged[k], np.int64) for k in sorted(merged)])
-    return cells, int(cells.sum())
+    for row in merged.applyInPandas(add, "slice int, body binary, n long").collect():
+        cells[row.slice] = np.frombuffer(packing.unsqueeze(row.body), dtype=np.uint8)
+        total += row.n
+    return cells.reshape(-1), total
 
 
 def _key(values: np.ndarray) -> int:
