@@ -1,6 +1,7 @@
 """All corpus queries; importing this module registers them."""
 
 from tallyhouse.llm import (  # noqa: F401
-    byte_pairs, decontamination, fingerprints, line_dedup, line_quality, shingle_join, substring_dedup, toxicity,
+    byte_pairs, decontamination, fingerprints, line_dedup, line_quality, personal_data, shingle_join,
+    substring_dedup, toxicity,
 )
 from tallyhouse.llm.common import QUERIES, SQL  # noqa: F401
