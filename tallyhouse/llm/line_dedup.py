@@ -33,9 +33,9 @@ def _lines() -> Column:
     return F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
 
 
-def _rows(docs: DataFrame) -> DataFrame:
+def _rows(docs: DataFrame, **extra: str) -> DataFrame:
     """Rows with a digest of the text, so that repeated doc_ids with other texts stay apart."""
-    return typed(docs, doc_id="long", text="string").withColumn("digest", F.xxhash64("text"))
+    return typed(docs, doc_id="long", text="string", **extra).withColumn("digest", F.xxhash64("text"))
 
 
 def first_occurrences(docs: DataFrame, min_chars: int = 1) -> DataFrame:
@@ -75,17 +75,18 @@ def _kept(lines: str, dropped: str) -> Column:
     """)
 
 
-def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """One row per input row: ``doc_id, n_lines, n_dropped, kept_text``."""
+def drop_frequent_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, extra: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``doc_id``, the ``extra`` text columns, ``n_lines, n_dropped, kept_text``."""
     bitmaps = keep_bitmaps(docs, min_docs, min_chars).select(
         F.col("doc_id").alias("owner"), F.col("digest").alias("owner_digest"), "dropped"
     )
-    rows = _rows(docs)
+    rows = _rows(docs, **{name: "string" for name in extra})
     joined = rows.join(
         bitmaps, F.col("doc_id").eqNullSafe(F.col("owner")) & (F.col("digest") == F.col("owner_digest")), "left"
     ).withColumn("lines", _lines())
     return joined.select(
         "doc_id",
+        *extra,
         F.size("lines").cast("long").alias("n_lines"),
         F.coalesce(
             F.aggregate("dropped", F.lit(0), lambda n, w: n + F.bit_count(w["bits"])), F.lit(0)

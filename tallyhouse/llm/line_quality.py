@@ -207,8 +207,8 @@ def fit_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -
     return fit(list(sample["data"]), sample["label"].to_numpy(dtype=np.int64))
 
 
-def with_score(docs: DataFrame, model: dict) -> DataFrame:
-    """``doc_id, text, score`` for every row."""
+def with_score(docs: DataFrame, model: dict, keep: bool = False) -> DataFrame:
+    """``doc_id, score`` for every row; with ``keep`` all columns of ``docs`` and the score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,9 +222,15 @@ def with_score(docs: DataFrame, model: dict) -> DataFrame:
             if len(texts) > at:
                 found.append(scores(texts[at:], model))
             done = np.concatenate(found) if found else np.zeros(0)
-            yield pa.record_batch({"doc_id": batch.column(0), "text": batch.column(1), "score": pa.array(done, pa.float64())})
-
-    return typed(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, text string, score double")
+            columns = dict(zip(batch.schema.names[: 2 if keep else 1], batch.columns)) | dict(zip(batch.schema.names[2:], batch.columns[2:]))
+            yield pa.record_batch(columns | {"score": pa.array(done, pa.float64())})
+
+    if not keep:
+        return typed(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, score double")
+    rest = [c for c in docs.columns if c not in ("doc_id", "text", "score")]
+    rows = docs.select("doc_id", "text", *rest)
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{kinds}, score double")
 
 
 @query("op4_line_quality")
