@@ -2,8 +2,7 @@
 
 1. A sketch of shingle frequencies (fixed size, summed over all documents) gives every task the same
    order of shingles, rare ones first. Two sets with Jaccard similarity of 80 % share a shingle in
-   their prefixes, the first ``n - ceil(0.8 n) + 1`` shingles in that order; with prefixes longer by
-   ``n // 20`` they share as many more, which a passage in common does not reach.
+   their prefixes, the first ``n - ceil(0.8 n) + 1`` shingles in that order.
 2. Documents with one prefix and one size are a group, and equal sets are one node. Postings
    (shingle, group) travel packed and sorted; a shingle with one group is dropped where it is met.
 3. In a round every shingle's list has a hub, and the other groups are paired with it, if size and
@@ -35,7 +34,7 @@ from tallyhouse.llm.components import contracted
 from tallyhouse.llm.rolling import mix, shingle_sets
 
 CELL_BITS, SLICE_BITS, BLOCK_BYTES, POSTINGS_PER_PART, NEEDED_BITS = 24, 16, 2 << 20, 1 << 21, 21
-HUB_ROUNDS, PAIRS_PER_POSTING, SPARE = 3, 4, 20
+HUB_ROUNDS, PAIRS_PER_POSTING = 3, 4
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
@@ -103,7 +102,7 @@ def _prefixes(rows: DataFrame, order, parts: int, percent: int) -> DataFrame:
                 if not n:
                     out.append((doc_id, digest, 0, None, None))
                     continue
-                length = min(n, n - (percent * n + 99) // 100 + 1 + n // SPARE)
+                length = n - (percent * n + 99) // 100 + 1
                 rank = rare[(found >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 prefix = found[np.lexsort((found, rank))[:length]]
                 gkey = _key(np.append(prefix, np.uint64(n)))
@@ -206,17 +205,12 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(percent: int) -> str:
-    """Size and position leave room for a link: the rest behind the shared shingle is large enough."""
-    room = "least(l.pos, r.pos) + 1 + least(l.n - l.pos - 1, r.n - r.pos - 1)"
+    """Size and position leave room for a link. Of linked sets the first shingle in common, which both
+    prefixes hold, has all others behind it in both; so this one at least passes."""
+    room = "1 + least(l.n - l.pos - 1, r.n - r.pos - 1)"
     return f"100 * least(l.n, r.n) >= {percent} * greatest(l.n, r.n) and ({100 + percent}) * ({room}) >= {percent} * (l.n + r.n)"
 
 
-# Prefixes are longer by n // SPARE, so linked sets have that many more shingles of their prefixes in
-# common. A hub sees only the lists that it leads and may count too few: the last round counts all.
-def _enough():
-    return (F.count("*") > F.floor(F.min(F.least("l.n", "r.n")) / SPARE)).alias("enough")
-
-
 def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``doc_id, digest, n_shingles, component_id`` for every row; ``digest`` tells rows with one
     doc_id and other texts apart. Runs jobs and writes to the scratch folder."""
@@ -244,10 +238,14 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
             (F.min("comp") != F.max("comp")).alias("mixed"),
         ), "groups")
         marked = lists.join(groups, "gkey")
-        open_lists = marked.groupBy("token").agg(
-            F.min("comp").alias("low"), F.max("comp").alias("high"), F.max("mixed").alias("any_mixed"), F.count("*").alias("k"),
-        ).where("low <> high or any_mixed")
-        left = integer(open_lists, F.sum(F.col("k") * (F.col("k") - 1) / 2))
+        open_lists = marked.groupBy("token", "comp").agg(
+            F.max("mixed").alias("any_mixed"), F.count("*").alias("k")
+        ).groupBy("token").agg(
+            F.count("*").alias("comps"), F.max("any_mixed").alias("any_mixed"),
+            ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("apart"),
+        ).where("comps > 1 or any_mixed")
+        open_lists = stored(open_lists, "open")
+        left = integer(open_lists, F.sum("apart") + F.count("*"))
         inside = groups.where("mixed")
         if not left and inside.isEmpty():
             break
@@ -257,12 +255,11 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
         if last:
             pairs = marked.alias("l").join(marked.alias("r"), F.expr(
                 f"l.token = r.token and l.gkey < r.gkey and {apart} and {_possible(percent)}"
-            )).groupBy(F.col("l.gkey").alias("g"), F.col("r.gkey").alias("h")).agg(_enough()).where("enough")
+            )).selectExpr("l.gkey as g", "r.gkey as h").distinct()
             own = named.join(inside.select("gkey"), "gkey", "left_semi").select("node", "gkey", "comp")
             first = named.toDF("node_a", "g", "comp_a")
             second = named.toDF("node_b", "h", "comp_b")
             within = own.toDF("node_a", "g", "comp_a").join(own.toDF("node_b", "g", "comp_b"), "g").where("node_a < node_b")
-            pairs = pairs.select("g", "h")
             across = pairs.join(first.select("g", "node_a", "comp_a"), "g").join(second.select("h", "node_b", "comp_b"), "h")
         else:
             hub = marked.groupBy("token").agg(F.min(F.struct(
@@ -271,8 +268,7 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
             )).alias("hub")).select("token", "hub.*")
             pairs = hub.alias("l").join(marked.alias("r"), F.expr(
                 f"l.token = r.token and l.gkey <> r.gkey and {apart} and {_possible(percent)}"
-            )).groupBy(F.col("l.lead").alias("node_a"), F.col("l.comp").alias("comp_a"), F.col("r.gkey").alias("h"))
-            pairs = pairs.agg(_enough()).where("enough").drop("enough")
+            )).selectExpr("l.lead as node_a", "l.comp as comp_a", "r.gkey as h").distinct()
             second = named.toDF("node_b", "h", "comp_b")
             across = pairs.join(second, "h")
             within = inside.selectExpr("lead as node_a", "comp as comp_a", "gkey as h").join(second, "h")
