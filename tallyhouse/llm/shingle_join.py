@@ -5,8 +5,8 @@
    their prefixes, the first ``n - ceil(0.8 n) + 1`` shingles in that order.
 2. Documents with one prefix and one size are a group, and equal sets are one node. Postings
    (shingle, group) travel packed and sorted; a shingle with one group is dropped where it is met.
-3. In a round every shingle's list has a hub, and the other groups are paired with it, if size and
-   position allow a link and they are not connected yet. Group pairs are expanded to
+3. In a round every shingle's list has a hub, and each other group is paired with the hub that it meets in most lists,
+   if size and position allow a link and they are not connected yet. Group pairs are expanded to
    members, and members are verified on their whole texts. Found links are contracted to components. Rounds
    with other hubs follow while many unconnected pairs are left; a last round pairs everything in a
    list that is not connected, so no link between two components remains untested. A cluster of k
@@ -268,7 +268,9 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
             )).alias("hub")).select("token", "hub.*")
             pairs = hub.alias("l").join(marked.alias("r"), F.expr(
                 f"l.token = r.token and l.gkey <> r.gkey and {apart} and {_possible(percent)}"
-            )).selectExpr("l.lead as node_a", "l.comp as comp_a", "r.gkey as h").distinct()
+            )).groupBy(F.col("r.gkey").alias("h"), F.col("l.comp").alias("comp_a"), F.col("l.lead").alias("node_a")).count()
+            # Each group meets the hub that it shares most lists with; the last round misses nothing.
+            pairs = pairs.groupBy("h").agg(F.max(F.struct("count", "comp_a", "node_a")).alias("best")).select("h", "best.comp_a", "best.node_a")
             second = named.toDF("node_b", "h", "comp_b")
             across = pairs.join(second, "h")
             within = inside.selectExpr("lead as node_a", "comp as comp_a", "gkey as h").join(second, "h")
