@@ -27,7 +27,7 @@ from tallyhouse.llm.packing import texts_of
 from tallyhouse.llm.rolling import Words
 from tallyhouse.llm.training import labelled_sample
 
-PER_CLASS, CHAIN, ROUNDS, PENALTY, BLOCK_BYTES = 1200, 128, 80, 1e-3, 2 << 20
+PER_CLASS, CHAIN, ROUNDS, PENALTY, BLOCK_BYTES = 1200, 128, 80, 1e-3, 1 << 20
 
 
 def _classes() -> np.ndarray:

@@ -33,7 +33,7 @@ from tallyhouse.llm.common import documents, integer, query, stored, typed
 from tallyhouse.llm.components import contracted
 from tallyhouse.llm.rolling import mix, shingle_sets
 
-CELL_BITS, SLICE_BITS, BLOCK_BYTES, POSTINGS_PER_PART, NEEDED_BITS = 24, 16, 2 << 20, 1 << 21, 21
+CELL_BITS, SLICE_BITS, BLOCK_BYTES, POSTINGS_PER_PART, NEEDED_BITS = 24, 16, 1 << 20, 1 << 21, 21
 HUB_ROUNDS, PAIRS_PER_POSTING = 3, 4
 
 
