@@ -43,14 +43,20 @@ def delete_where(base: DataFrame, predicate: Column) -> DataFrame:
 
 
 def _distinct_or_error(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key; a second change for the same key is an error when the plan runs."""
+    """One row per key; a second change for the same key is an error when the plan runs.
+
+    A NULL key equals no other, so changes with one stay as they are."""
     rest = [c for c in changes.columns if c not in keys]
-    folded = changes.groupBy(*keys).agg(
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    folded = changes.where(whole).groupBy(*keys).agg(
         F.count("*").alias("_n"), F.any_value(F.struct(*rest)).alias("_row")
     )
     message = F.lit("more than one change for the same key")
     once = F.when(F.col("_n") > 1, F.raise_error(message).cast("boolean")).otherwise(F.lit(True))
-    return folded.where(once).select(*keys, "_row.*").select(*changes.columns)
+    single = folded.where(once).select(*keys, "_row.*").select(*changes.columns)
+    return single.unionByName(changes.where(~whole))
 
 
 def merge(
@@ -150,7 +156,10 @@ def cow_apply(
     emptied = [v for v in touched if v not in kept]
     stale = []
     if emptied:
-        gone = base.where(F.col(part).isin(emptied)).select(F.col("_metadata.file_path").alias("f"))
+        lost = F.col(part).isin([v for v in emptied if v is not None])
+        if None in emptied:
+            lost = lost | F.col(part).isNull()
+        gone = base.where(lost).select(F.col("_metadata.file_path").alias("f"))
         folder = F.regexp_replace(plain_path(F.col("f")), "/[^/]+$", "")
         stale = [r[0] for r in gone.distinct().select(folder).distinct().collect()]
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(

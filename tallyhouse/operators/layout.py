@@ -144,17 +144,23 @@ LISTING = ("path", "modificationTime", "length", "content")
 
 
 def _groups(spark: SparkSession, path: str, where: Column | None) -> DataFrame:
-    """One row per partition folder: partition values, folder, files, bytes. A file listing only."""
+    """One row per partition folder: partition values as written in its name (so that ``01`` and
+    ``1`` stay two folders), folder, files, bytes. A file listing only."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
     if where is not None:
         listing = listing.where(where)
     parts = [c for c in listing.columns if c not in LISTING]
-    return listing.groupBy(*parts).agg(
-        F.min(_folder(F.col("path"))).alias("_folder"),
-        F.count("*").alias("_files"),
-        F.sum("length").alias("_bytes"),
+    folders = listing.groupBy(_folder(F.col("path")).alias("_folder")).agg(
+        F.count("*").alias("_files"), F.sum("length").alias("_bytes")
     )
 
+    def written(name: str) -> Column:
+        raw = F.regexp_extract("_folder", f"/{re.escape(name)}=([^/]*)", 1)
+        value = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
+        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", value).alias(name)
+
+    return folders.select(*[written(c) for c in parts], "_folder", "_files", "_bytes")
+
 
 def compact(
     spark: SparkSession,
@@ -195,14 +201,19 @@ def compact(
         dealing.append((*[group[c] for c in parts], slots, wanted))
         slots += wanted
     literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", group["_folder"]) for group in plan]  # no glob signs
-    chosen = spark.read.schema(source.schema).option("basePath", root).parquet(*literal)
+    as_written = T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name in parts else f.dataType) for f in source.schema]
+    )
+    chosen = spark.read.schema(as_written).option("basePath", root).parquet(*literal)
     columns = chosen.columns
+    # The files of this listing are what is read; files that arrive later are left alone.
+    read = {file.rsplit("/", 1)[1] for file in chosen.inputFiles()}
     place = F.pmod(
         F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")), F.col("_wanted")
     )
     opened = chosen.select(*columns, "_metadata")
     if parts:
-        schema = T.StructType([source.schema[c] for c in parts])
+        schema = T.StructType([as_written[c] for c in parts])
         schema.add("_first", "integer").add("_wanted", "integer")
         lookup = spark.createDataFrame(dealing, schema).alias("l")  # one row per folder of the plan
         same = [F.col(f"c.{p}").eqNullSafe(F.col(f"l.{p}")) for p in parts]
@@ -224,11 +235,18 @@ def compact(
         store.remove(staging)
         raise RuntimeError("the rewritten rows differ from the old ones; nothing was changed")
 
-    report = []
+    moves = []
     for group in plan:
         folder = group["_folder"]
         inner = folder[len(root):]
-        old, new = store.data_files(folder), store.data_files(staging + inner)
+        old = [f for f in store.data_files(folder) if f.rsplit("/", 1)[1] in read]
+        new = store.data_files(staging + inner)
+        if old and not new and group["_bytes"] and spark.read.schema(as_written).parquet(*old).limit(1).count():
+            store.remove(staging)
+            raise RuntimeError(f"nothing was staged for {inner}; nothing was changed")
+        moves.append((group, folder, inner, old, new))
+    report = []
+    for group, folder, inner, old, new in moves:
         replace_files(store, folder, old, new, retired + inner)
         report.append((inner.lstrip("/"), len(old), len(new), group["_bytes"]))
     store.remove(staging)

@@ -28,14 +28,15 @@ def rank_top(df: DataFrame, by: str, k: int, key: str) -> DataFrame:
 
 
 def top_per_group(df: DataFrame, group: str, by: str) -> DataFrame:
-    """The row or rows holding each group's largest value, ties kept.
+    """The row or rows holding each group's largest value, ties kept. A group whose values are all
+    NULL keeps its rows, as RANK() = 1 does.
 
     The maximum per group is folded inside every task, then joined back: with few groups the
     join is a broadcast filter over the scan and no row is shuffled; with many groups it is a
     shuffle on (group, value), so a hot group is spread over its values.
     """
     best = df.groupBy(F.col(group).alias("_group")).agg(F.max(by).alias("_best"))
-    same = F.col(group).eqNullSafe(F.col("_group")) & (F.col(by) == F.col("_best"))
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(by).eqNullSafe(F.col("_best"))
     return df.join(best, same).select(*df.columns)
 
 

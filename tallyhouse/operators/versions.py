@@ -68,7 +68,10 @@ def as_of(
     state = _newest(part, keys, {"_row": None}).where(F.col("_row").isNotNull())
     columns = payload(log, keys)
     if schema_log is not None:
-        newest = max(c for c in schema_log if version is None or c <= version)
+        limit = version
+        if isinstance(version, Column):  # one number: the columns must be known to build the plan
+            limit = part.agg(F.max("commit_id")).first()[0]
+        newest = max(c for c in schema_log if limit is None or c <= limit)
         columns = [c for c in schema_log[newest] if c not in keys]
     return state.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in columns])
 
@@ -121,7 +124,11 @@ def lineage(snapshot_list: DataFrame, start: DataFrame) -> DataFrame:
     jump = written(
         snapshot_list.where(F.col("parent_id").isNotNull()).select("snapshot_id", "parent_id")
     )
+    rounds = jump.count().bit_length() + 1
     while not jump.isEmpty():
+        if not rounds:
+            raise ValueError("the parents of the snapshots form a cycle")
+        rounds -= 1
         up = reached.join(jump, "snapshot_id").select(F.col("parent_id").alias("snapshot_id"))
         reached = written(reached.unionByName(up).distinct())
         onward = jump.select(F.col("snapshot_id").alias("parent_id"), F.col("parent_id").alias("_far"))

@@ -13,7 +13,9 @@ _local_folders: dict[str, str] = {}
 _scratch: dict[str, list[str]] = {}
 
 
-def build_session(master: str = "local[8]", app: str = "tallyhouse", **extra: str) -> SparkSession:
+def build_session(
+    master: str = "local[8]", app: str = "tallyhouse", driver_memory: str = "12g", **extra: str
+) -> SparkSession:
     """A session for tests and the benchmark; a cluster job brings its own."""
     cores = master[6:-1] if master.startswith("local[") else "8"
     settings = {
@@ -24,7 +26,7 @@ def build_session(master: str = "local[8]", app: str = "tallyhouse", **extra: st
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "16g",
+        "spark.driver.memory": driver_memory,
     } | extra
     builder = SparkSession.builder.master(master).appName(app)
     for key, value in settings.items():
@@ -41,9 +43,11 @@ def shared_folder(spark: SparkSession) -> str:
     cluster a machine-local folder would be lost with its machine.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
     if named:
+        if named.startswith("file:") and not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names a machine's own disk; executors cannot share it")
         return named.rstrip("/")
-    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     app = context.applicationId

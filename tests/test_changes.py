@@ -105,3 +105,18 @@ def test_defaults_and_new_columns(spark):
     assert rows(with_defaults(df, {"id": 9, "country": "USA"})) == [(1, "USA")]
     assert add_column(df, "flag", "boolean").schema["flag"].dataType.simpleString() == "boolean"
     assert rows(changes.insert(df, df)) == [(1,), (1,)]
+
+
+def test_merge_inserts_every_change_with_a_null_key(spark):
+    base = spark.createDataFrame([(1, "a")], "id int, v string")
+    new = spark.createDataFrame([(None, "x"), (None, "y"), (1, "b")], "id int, v string")
+    got = changes.merge(base, new, ["id"])
+    assert sorted(map(tuple, got.collect()), key=repr) == [(1, "b"), (None, "x"), (None, "y")]
+
+
+def test_cow_apply_empties_the_null_partition(spark, tmp_path):
+    path = str(tmp_path / "table")
+    spark.createDataFrame([(1, 1, 5), (2, None, 6)], "id int, p int, v int").write.partitionBy("p").parquet(path)
+    gone = spark.createDataFrame([(2, None, 6, "D")], "id int, p int, v int, op string")
+    changes.cow_apply(spark, path, gone, ["id"], "p")
+    assert [r.id for r in spark.read.parquet(path).collect()] == [1]

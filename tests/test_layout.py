@@ -115,3 +115,30 @@ def test_sorted_layout(spark):
         values = [r[0] for r in spark.read.parquet(file).coalesce(1).select("s").collect()]
         assert values == sorted(values)
     assert spark.read.parquet(path).count() == 1000
+
+
+@pytest.mark.parametrize("names", [("01", "02"), ("1.0", "1"), ("a b", "__HIVE_DEFAULT_PARTITION__")])
+def test_compaction_keeps_rows_of_any_folder_name(spark, tmp_path, names):
+    path = str(tmp_path / "table")
+    for name in names:
+        folder = f"{path}/p={name}"
+        spark.range(100).repartition(6).write.parquet(folder)
+    before = sorted(map(tuple, spark.read.parquet(path).collect()), key=repr)
+    report = layout.compact(spark, path, min_input_files=2).collect()
+    assert sorted(map(tuple, spark.read.parquet(path).collect()), key=repr) == before
+    assert {(r.files_before, r.files_after) for r in report} == {(6, 1)} and len(report) == 2
+
+
+def test_compaction_leaves_files_that_arrive_meanwhile(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "table")
+    spark.range(100).repartition(6).write.parquet(f"{path}/p=1")
+    check, calls = layout.content_check, []
+
+    def append_first(df):
+        if not calls:
+            calls.append(spark.range(100, 150).coalesce(1).write.mode("append").parquet(f"{path}/p=1"))
+        return check(df)
+
+    monkeypatch.setattr(layout, "content_check", append_first)
+    layout.compact(spark, path, min_input_files=2)
+    assert spark.read.parquet(path).count() == 150
