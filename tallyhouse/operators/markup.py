@@ -49,13 +49,11 @@ class _PageReader(HTMLParser):
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, dict[str, str | None]]] = []
+        # Open elements with the place their text goes to: a field, the number of an item, or none.
+        self.open: list[tuple[str, str | int | None]] = []
         self.counts = {"div": 0, "p": 0, "li": 0}
-        self.title: str | None = None
-        self.h1: str | None = None
-        self.intro: str | None = None
+        self.fields: dict[str, str] = {}
         self.items: list[str] = []
-        self._in_list = 0
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         while self.open and self.open[-1][0] in self.CLOSED_BY.get(tag, ()):
@@ -64,13 +62,17 @@ class _PageReader(HTMLParser):
             self.counts[tag] += 1
         if tag in self.VOID:
             return
-        self.open.append((tag, dict(attrs)))
-        if tag == "title" and self.title is None:
-            self.title = ""
-        elif tag == "h1" and self.h1 is None:
-            self.h1 = ""
-        elif tag == "li" and self._inside("ul"):
+        field = tag
+        if tag == "p" and "intro" in (dict(attrs).get("class") or "").split():
+            field = "intro"
+        place: str | int | None = None
+        if field in ("title", "h1", "intro") and field not in self.fields:
+            self.fields[field] = ""
+            place = field
+        elif tag == "li" and next((name for name, _ in reversed(self.open) if name in ("ul", "ol")), "") == "ul":
+            place = len(self.items)
             self.items.append("")
+        self.open.append((tag, place))
 
     def handle_endtag(self, tag: str) -> None:
         if any(name == tag for name, _ in self.open):
@@ -80,18 +82,12 @@ class _PageReader(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.open:
             return
-        tag, attrs = self.open[-1]
-        if tag == "title":
-            self.title = (self.title or "") + data
-        elif tag == "h1":
-            self.h1 = (self.h1 or "") + data
-        elif tag == "p" and attrs.get("class") == "intro":
-            self.intro = (self.intro or "") + data
-        if self.items and self._inside("li"):
-            self.items[-1] += data
-
-    def _inside(self, tag: str) -> bool:
-        return any(name == tag for name, _ in self.open)
+        place = self.open[-1][1]
+        if isinstance(place, str):
+            self.fields[place] += data
+        item = next((place for name, place in reversed(self.open) if name == "li"), None)
+        if isinstance(item, int):
+            self.items[item] += data
 
 
 HTML_FIELDS = "title string, h1 string, intro string, items array<string>, n_div int, n_p int, n_li int"
@@ -103,7 +99,8 @@ def read_page(html: str | None) -> tuple:
     reader.close()
     counts = reader.counts
     items = [" ".join(item.split()) for item in reader.items]
-    return reader.title, reader.h1, reader.intro, items, counts["div"], counts["p"], counts["li"]
+    field = reader.fields.get
+    return field("title"), field("h1"), field("intro"), items, counts["div"], counts["p"], counts["li"]
 
 
 def html_extract(df: DataFrame, column: str, keep: tuple[str, ...] = ()) -> DataFrame:
