@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.common import stored, typed
 
@@ -64,24 +64,53 @@ def texts_of(column: pa.Array) -> list[bytes]:
 
 def chunk_rows(batch: pa.RecordBatch) -> tuple[int, list[int], list[bytes]]:
     """One chunk row as (number, ids with NULL_ID for NULL, texts)."""
-    row = batch.slice(0, 1)
-    body = pa.ipc.open_stream(unsqueeze(row.column("body")[0].as_py())).read_all()
+    body = chunk_body(batch)
     ids = [NULL_ID if i is None else i for i in body.column("doc_id").to_pylist()]
-    return row.column("chunk")[0].as_py(), ids, body.column("text").to_pylist()
+    return batch.column("chunk")[0].as_py(), ids, body.column("text").to_pylist()
 
 
-def chunked(docs: DataFrame, chunk_bytes: int = 2 << 20) -> DataFrame:
+def chunk_body(batch: pa.RecordBatch) -> pa.Table:
+    """The documents of one chunk row."""
+    return pa.ipc.open_stream(unsqueeze(batch.column("body")[0].as_py())).read_all()
+
+
+def single_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Every row as a batch of its own."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1)
+
+
+def answers(one: pa.RecordBatch, name: str) -> list[dict]:
+    """What ``with_answers`` gave a chunk: rows of ``part`` and ``bits``."""
+    return (one.column(name)[0].as_py() or []) if name in one.schema.names else []
+
+
+def by_chunk(bits: DataFrame, name: str) -> DataFrame:
+    """All answers (chunk, part, bits) to a chunk as one row."""
+    return bits.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias(name))
+
+
+def with_answers(chunks: DataFrame, *answered: DataFrame) -> DataFrame:
+    for one in answered:
+        chunks = chunks.join(one.hint("shuffle_hash"), "chunk", "left")
+    return chunks
+
+
+def chunked(docs: DataFrame, chunk_bytes: int = 2 << 20, **numbers: str) -> DataFrame:
     """``docs`` as stored rows of about ``chunk_bytes`` of whole texts each; a longer text is a chunk
-    of its own. NULL texts are empty."""
+    of its own. NULL texts are empty. ``numbers`` are further columns of ``docs`` to keep, all ``long``."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         ids: list[int | None] = []
         texts: list[bytes] = []
+        others: list[list[int | None]] = [[] for _ in numbers]
         size = 0
 
         def row():
-            body = pa.record_batch({"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())})
+            columns = {"doc_id": pa.array(ids, pa.int64()), "text": pa.array(texts, pa.binary())}
+            body = pa.record_batch(columns | {n: pa.array(c, pa.int64()) for n, c in zip(numbers, others)})
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, body.schema) as out:
                 out.write_batch(body)
@@ -92,15 +121,19 @@ def chunked(docs: DataFrame, chunk_bytes: int = 2 << 20) -> DataFrame:
             })
 
         for batch in batches:
-            for i, t in zip(batch.column(0).to_pylist(), texts_of(batch.column(1))):
+            more = [c.to_pylist() for c in batch.columns[2:]]
+            for at, (i, t) in enumerate(zip(batch.column(0).to_pylist(), texts_of(batch.column(1)))):
                 if texts and size + len(t) > chunk_bytes:
                     yield row()
                     number, ids, texts, size = number + 1, [], [], 0
+                    others = [[] for _ in numbers]
                 ids.append(i)
                 texts.append(t)
+                for values, column in zip(others, more):
+                    values.append(column[at])
                 size += len(t)
         if texts:
             yield row()
 
-    rows = typed(docs, doc_id="long", text="string").mapInArrow(pack, CHUNK_SCHEMA)
+    rows = typed(docs, doc_id="long", text="string", **numbers).mapInArrow(pack, CHUNK_SCHEMA)
     return stored(rows, "chunks")

@@ -1,14 +1,15 @@
 """Documents linked by the Jaccard similarity of their word 5-shingles (op6): a grouped prefix join.
 
-1. A sketch of shingle frequencies (fixed size, summed over all documents) gives every task the same
-   order of shingles, rare ones first. Two sets with Jaccard similarity of 80 % share a shingle in
-   their prefixes, the first ``n - ceil(0.8 n) + 1`` shingles in that order.
+1. A sketch of shingle frequencies (its cells grow with the corpus and are summed block by block over all
+   documents) gives every chunk the same order of shingles, rare ones first. Two sets with Jaccard similarity of 80 % share a shingle in
+   their prefixes, the first ``n - ceil(0.8 n) + 1`` shingles in that order. A shingle alone in its cell
+   keeps its place in the prefix, but is no posting.
 2. Documents with one prefix and one size are a group, and equal sets are one node. Postings
    (shingle, group) travel packed and sorted; a shingle with one group is dropped where it is met.
 3. In a round every shingle's list has a hub, and each other group is paired with the hub that it meets in most lists,
    if size and position allow a link and they are not connected yet. Group pairs are expanded to
    members, and members are verified on their whole texts. Found links are contracted to components. Rounds
-   with other hubs follow while many unconnected pairs are left; a last round pairs everything in a
+   with other hubs follow while many unconnected pairs are left and each round at least halves them; a last round pairs everything in a
    list that is not connected, so no link between two components remains untested. A cluster of k
    near copies costs a multiple of k pairs, not its square.
 
@@ -33,52 +34,60 @@ from tallyhouse.llm.common import documents, integer, query, stored, typed
 from tallyhouse.llm.components import contracted
 from tallyhouse.llm.rolling import mix, shingle_sets
 
-CELL_BITS, SLICE_BITS, BLOCK_BYTES, POSTINGS_PER_PART, NEEDED_BITS = 24, 16, 1 << 20, 1 << 21, 21
+CELLS_PER_SHINGLE, BLOCK_BITS, POSTINGS_PER_PART, NEEDED_BITS = 8, 25, 1 << 21, 21
+MOST = 1 << 30  # a count stays there, so that it never turns back to 1
 HUB_ROUNDS, PAIRS_PER_POSTING = 3, 4
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]):
-    """(first columns as lists, texts) of about ``BLOCK_BYTES`` of text."""
-    for batch in batches:
-        texts, rest = packing.texts_of(batch.column(0)), [c.to_pylist() for c in batch.columns[1:]]
-        at, size = 0, 0
-        for i, t in enumerate(texts):
-            if i > at and size + len(t) > BLOCK_BYTES:
-                yield texts[at:i], [c[at:i] for c in rest]
-                at, size = i, 0
-            size += len(t)
-        if len(texts) > at:
-            yield texts[at:], [c[at:] for c in rest]
+class ChunkShingles:
+    """The shingle sets of a chunk's texts and their sketch cells; the same in every pass."""
 
+    def __init__(self, texts: list[bytes], cells: int):
+        self.sets = shingle_sets(texts)
+        self.cell = (np.concatenate(self.sets) % np.uint64(cells)).astype(np.int64)
+        self.distinct, self.count = np.unique(self.cell, return_counts=True)
 
-def frequency_sketch(rows: DataFrame) -> tuple[np.ndarray, int]:
-    """A frequency class (eighths of a power of two) per cell of shingles, and the number of shingles.
+    def classes(self, answers: list[dict]) -> list[np.ndarray]:
+        """The frequency class of every shingle, by set."""
+        rank = np.zeros(len(self.distinct), dtype=np.uint8)
+        block = self.distinct >> BLOCK_BITS
+        for row in answers:
+            low, high = np.searchsorted(block, [row["part"], row["part"] + 1])
+            rank[low:high] = np.frombuffer(packing.unsqueeze(row["bits"]), dtype=np.uint8)
+        every = rank[np.searchsorted(self.distinct, self.cell)]
+        return np.split(every, np.cumsum([len(s) for s in self.sets])[:-1])
 
-    The sketch has 2**CELL_BITS cells whatever the corpus is; a class is one byte."""
+
+def frequency_classes(chunks: DataFrame, cells: int) -> DataFrame:
+    """For every chunk the frequency classes (quarters of a power of two) of its distinct cells.
+
+    Class 0 means that the whole corpus holds one document's one shingle in this cell. The cell space grows with the corpus and is summed block by block; nothing holds all of it."""
 
     def count(batches):
-        cells = np.zeros(1 << CELL_BITS, dtype=np.int32)
-        for texts, _ in _blocks(batches):
-            found = np.concatenate(shingle_sets(texts))
-            np.add.at(cells, (found >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
-        for k, part in enumerate(np.split(cells, len(cells) >> SLICE_BITS)):
-            if part.any():
+        for one in packing.single_rows(batches):
+            seen = ChunkShingles(packing.chunk_body(one).column("text").to_pylist(), cells)
+            block = seen.distinct >> BLOCK_BITS
+            for b in np.unique(block).tolist():
+                low, high = np.searchsorted(block, [b, b + 1])
+                inside = seen.distinct[low:high] & ((1 << BLOCK_BITS) - 1)
                 yield pa.record_batch({
-                    "slice": pa.array([k], pa.int32()), "body": pa.array([packing.pack_numbers(part)], pa.binary()),
+                    "part": pa.array([b], pa.int64()), "chunk": one.column("chunk"),
+                    "body": pa.array([packing.pack_sorted(inside, np.uint32)], pa.binary()),
+                    "counts": pa.array([packing.pack_numbers(np.minimum(seen.count[low:high], MOST).astype(np.uint32))], pa.binary()),
                 })
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(packing.unpack_numbers(b, np.int32).astype(np.int64) for b in group["body"])
-        classes = np.minimum(8 * np.log2(total + 1), 255).astype(np.uint8)
-        return pd.DataFrame({"slice": group["slice"][:1], "body": [packing.squeeze(classes.tobytes())], "n": [total.sum()]})
+        total = np.zeros(1 << BLOCK_BITS, dtype=np.uint32)
+        for body, counts in zip(group["body"], group["counts"]):
+            cells = packing.unpack_sorted(body, np.uint32)
+            total[cells] = np.minimum(total[cells] + packing.unpack_numbers(counts, np.uint32), MOST)
+        classes = [(4 * np.log2(np.maximum(total[packing.unpack_sorted(b, np.uint32)], 1))).astype(np.uint8) for b in group["body"]]
+        return pd.DataFrame({
+            "chunk": group["chunk"], "part": group["part"], "bits": [packing.squeeze(c.tobytes()) for c in classes],
+        })
 
-    merged = rows.mapInArrow(count, "slice int, body binary").groupBy("slice")
-    cells, total = np.zeros((1 << CELL_BITS - SLICE_BITS, 1 << SLICE_BITS), dtype=np.uint8), 0
-    # Bounded: one row per slice of a sketch of fixed size.
-    for row in merged.applyInPandas(add, "slice int, body binary, n long").collect():
-        cells[row.slice] = np.frombuffer(packing.unsqueeze(row.body), dtype=np.uint8)
-        total += row.n
-    return cells.reshape(-1), total
+    counted = chunks.mapInArrow(count, "part long, chunk long, body binary, counts binary")
+    return packing.by_chunk(counted.groupBy("part").applyInPandas(add, "chunk long, part long, bits binary"), "classes")
 
 
 def _key(values: np.ndarray) -> int:
@@ -88,30 +97,33 @@ def _key(values: np.ndarray) -> int:
 META = "doc_id long, digest long, n long, node binary, gkey long"
 
 
-def _prefixes(rows: DataFrame, order, parts: int, percent: int) -> DataFrame:
-    """One pass: a row per document (part is NULL) and packed postings (part is a number)."""
+def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFrame:
+    """One pass over chunks with their classes: a row per document (part is NULL) and packed postings (part is a number)."""
     schema = f"{META}, part int, body binary, groups binary"
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches):
-        rare = order.value
-        for texts, (ids, digests) in _blocks(batches):
+        for one in packing.single_rows(batches):
+            docs = packing.chunk_body(one)
+            seen = ChunkShingles(docs.column("text").to_pylist(), cells)
+            ids, digests = docs.column("doc_id").to_pylist(), docs.column("digest").to_pylist()
             out, tokens, owners, positions, known = [], [], [], [], {}
-            for doc_id, digest, found in zip(ids, digests, shingle_sets(texts)):
+            for doc_id, digest, found, rank in zip(ids, digests, seen.sets, seen.classes(packing.answers(one, "classes"))):
                 n = len(found)
                 if not n:
                     out.append((doc_id, digest, 0, None, None))
                     continue
                 length = n - (percent * n + 99) // 100 + 1
-                rank = rare[(found >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-                prefix = found[np.lexsort((found, rank))[:length]]
+                first = np.argsort(rank, kind="stable")[:length]  # ``found`` is sorted: ties in order of the hash
+                prefix = found[first]
                 gkey = _key(np.append(prefix, np.uint64(n)))
                 out.append((doc_id, digest, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), gkey))
                 if gkey not in known:
                     known[gkey] = (len(known), n)
-                    tokens.append(prefix)
-                    owners.append(np.full(length, len(known) - 1))
-                    positions.append(np.arange(length))
+                    shared = np.flatnonzero(rank[first])  # class 0 comes first, and no other document can hold it
+                    tokens.append(prefix[shared])
+                    owners.append(np.full(len(shared), len(known) - 1))
+                    positions.append(shared)
             columns = dict(zip(names, zip(*out)))
             yield pa.record_batch({
                 "doc_id": pa.array(columns["doc_id"], pa.int64()), "digest": pa.array(columns["digest"], pa.int64()),
@@ -140,7 +152,7 @@ def _prefixes(rows: DataFrame, order, parts: int, percent: int) -> DataFrame:
                     "groups": pa.array([every[used].tobytes()], pa.binary()),
                 })
 
-    return rows.mapInArrow(run, schema)
+    return chunks.mapInArrow(run, schema)
 
 
 def _columns(body: bytes) -> list[bytes]:
@@ -214,11 +226,13 @@ def _possible(percent: int) -> str:
 def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``doc_id, digest, n_shingles, component_id`` for every row; ``digest`` tells rows with one
     doc_id and other texts apart. Runs jobs and writes to the scratch folder."""
-    spark = docs.sparkSession
     rows = typed(docs, text="string", doc_id="long").withColumn("digest", F.xxhash64("text"))
-    cells, total = frequency_sketch(rows.select("text"))
+    chunks = packing.chunked(rows, digest="long")
+    total = integer(chunks, F.sum("n_words"))
+    cells = max(1, -(-total * CELLS_PER_SHINGLE >> BLOCK_BITS)) << BLOCK_BITS
     parts = max(1, -(-total // (5 * POSTINGS_PER_PART)))
-    packed = stored(_prefixes(rows, spark.sparkContext.broadcast(cells), parts, percent), "prefixes")
+    ranked = packing.with_answers(chunks, frequency_classes(chunks, cells))
+    packed = stored(_prefixes(ranked, cells, parts, percent), "prefixes")
     meta = packed.where("part is null").select(*[c.split()[0] for c in META.split(", ")])
     lists = stored(
         packed.where("part is not null").select("part", "body", "groups").groupBy("part")
@@ -229,7 +243,7 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     members = stored(nodes.join(lists.select("gkey").union(crowded).distinct(), "gkey", "left_semi"), "members")
     texts = _needed_texts(rows, members)
     labels = stored(members.select("node", F.col("node").alias("comp")), "labels")
-    postings = lists.count()
+    postings, before = lists.count(), float("inf")
 
     for turn in range(HUB_ROUNDS + 1):
         named = members.select("gkey", "node").join(labels, "node").select("node", "gkey", "comp")
@@ -249,7 +263,8 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
         inside = groups.where("mixed")
         if not left and inside.isEmpty():
             break
-        last = turn == HUB_ROUNDS or left <= PAIRS_PER_POSTING * postings
+        last = turn == HUB_ROUNDS or left <= PAIRS_PER_POSTING * postings or 2 * left > before
+        before = left
         marked = stored(marked.join(open_lists.select("token"), "token", "left_semi"), "open")
         apart = "(l.comp <> r.comp or l.mixed or r.mixed)"
         if last:

@@ -83,24 +83,8 @@ class ChunkWindows:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            one = batch.slice(i, 1)
-            yield one, *packing.chunk_rows(one)
-
-
-def _answers(one: pa.RecordBatch, name: str):
-    return (one.column(name)[0].as_py() or []) if name in one.schema.names else []
-
-
-def _by_chunk(bits: DataFrame, name: str) -> DataFrame:
-    return bits.groupBy("chunk").agg(F.collect_list(F.struct("part", "bits")).alias(name))
-
-
-def _with_answers(chunks: DataFrame, *answers: DataFrame) -> DataFrame:
-    for one in answers:
-        chunks = chunks.join(one.hint("shuffle_hash"), "chunk", "left")
-    return chunks
+    for one in packing.single_rows(batches):
+        yield one, *packing.chunk_rows(one)
 
 
 def remove_repeated(docs: DataFrame, size: int = 13) -> DataFrame:
@@ -136,7 +120,7 @@ def remove_repeated(docs: DataFrame, size: int = 13) -> DataFrame:
         return pd.DataFrame({"chunk": group["chunk"], "part": group["part"], "bits": bits})
 
     answer = "chunk long, part long, bits binary"
-    estimated = stored(_by_chunk(
+    estimated = stored(packing.by_chunk(
         chunks.mapInArrow(sketches, "part long, chunk long, body binary").groupBy("part").applyInPandas(merge, answer),
         "estimated",
     ), "estimated")
@@ -144,7 +128,7 @@ def remove_repeated(docs: DataFrame, size: int = 13) -> DataFrame:
     def entries(batches):
         for one, chunk, ids, texts in _chunks(batches):
             seen = ChunkWindows(texts, size, blocks)
-            flags = seen.repeated(_answers(one, "estimated"))
+            flags = seen.repeated(packing.answers(one, "estimated"))
             part, high, low, smallest, _ = seen.entries(flags, np.array(ids, dtype=np.int64), parts)
             for p in np.unique(part).tolist():
                 a, b = np.searchsorted(part, [p, p + 1])
@@ -170,19 +154,19 @@ def remove_repeated(docs: DataFrame, size: int = 13) -> DataFrame:
         bits = [packing.pack_bits(x) for x in np.split(earlier, ends[:-1])]
         return pd.DataFrame({"chunk": rows["chunk"], "part": rows["part"], "bits": bits})
 
-    found = _with_answers(chunks, estimated).mapInArrow(
+    found = packing.with_answers(chunks, estimated).mapInArrow(
         entries, "part long, chunk long, high binary, low binary, ids binary"
     )
-    earlier = _by_chunk(found.groupBy("part").applyInPandas(group, answer), "earlier")
+    earlier = packing.by_chunk(found.groupBy("part").applyInPandas(group, answer), "earlier")
 
     def cut(batches):
         for one, _, ids, texts in _chunks(batches):
             seen = ChunkWindows(texts, size, blocks)
-            flags = seen.repeated(_answers(one, "estimated"))
+            flags = seen.repeated(packing.answers(one, "estimated"))
             whose = np.array(ids, dtype=np.int64)
             part, _, _, smallest, number = seen.entries(flags, whose, parts)
             elsewhere = np.zeros(len(part), dtype=bool)
-            for row in _answers(one, "earlier"):
+            for row in packing.answers(one, "earlier"):
                 a, b = np.searchsorted(part, [row["part"], row["part"] + 1])
                 elsewhere[a:b] = packing.unpack_bits(row["bits"], b - a)
             gone = elsewhere[number] | (smallest[number] < whose[seen.owner[flags]])
@@ -204,7 +188,7 @@ def remove_repeated(docs: DataFrame, size: int = 13) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
             yield pa.record_batch({n: pa.array(c, k) for n, c, k in zip(names, zip(*result), kinds)})
 
-    return _with_answers(chunks, estimated, earlier).mapInArrow(cut, RESULT)
+    return packing.with_answers(chunks, estimated, earlier).mapInArrow(cut, RESULT)
 
 
 @query("op1_substring_dedup")
