@@ -36,7 +36,7 @@ from tallyhouse.llm.rolling import mix, shingle_sets
 
 CELLS_PER_SHINGLE, BLOCK_BITS, POSTINGS_PER_PART, NEEDED_BITS = 8, 25, 1 << 21, 21
 MOST = 1 << 30  # a count stays there, so that it never turns back to 1
-HUB_ROUNDS, PAIRS_PER_POSTING = 3, 4
+HUB_ROUNDS, PAIRS_PER_POSTING, LATER = 3, 4, 4
 
 
 class ChunkShingles:
@@ -263,7 +263,9 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
         inside = groups.where("mixed")
         if not left and inside.isEmpty():
             break
-        last = turn == HUB_ROUNDS or left <= PAIRS_PER_POSTING * postings or 2 * left > before
+        # Before the first hubs most pairs may be links; after them few are, and more may be left to the last round.
+        few = PAIRS_PER_POSTING * (LATER if turn else 1) * postings
+        last = turn == HUB_ROUNDS or left <= few or 2 * left > before
         before = left
         marked = stored(marked.join(open_lists.select("token"), "token", "left_semi"), "open")
         apart = "(l.comp <> r.comp or l.mixed or r.mixed)"
