@@ -32,11 +32,13 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents the one with the smallest doc_id; of repeated rows of it one."""
-    joined = shingle_join.link_components(docs)
-    first = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(
-        F.min("digest").alias("chosen"))
-    first = first.withColumnRenamed("doc_id", "first_id")
+    """Of each group of linked documents the one with the smallest doc_id, NULL last; of repeated rows of it one."""
+    joined = shingle_join.keyed_components(docs)
+    # A text without words is linked with nothing: its row is its own group.
+    alone = [F.when(F.col("comp").isNull(), F.col(name)).alias(f"own_{name}") for name in ("doc_id", "digest")]
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "digest")
+    first = joined.groupBy("comp", *alone).agg(F.min(order).alias("first"))
+    first = first.select(F.col("first.doc_id").alias("first_id"), F.col("first.digest").alias("chosen"))
     rows = docs.select(*COLUMNS).withColumn("digest", F.xxhash64("text"))
     kept = rows.join(first, F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("chosen")), "left_semi")
     return kept.dropDuplicates(["doc_id", "digest"]).select(*COLUMNS)

@@ -226,6 +226,12 @@ def _possible(percent: int) -> str:
 def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     """``doc_id, digest, n_shingles, component_id`` for every row; ``digest`` tells rows with one
     doc_id and other texts apart. Runs jobs and writes to the scratch folder."""
+    return keyed_components(docs, percent).drop("comp")
+
+
+def keyed_components(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """As ``link_components``, with the component's own key ``comp``: two components can share a
+    ``component_id``, where doc_ids are NULL or repeated. It is NULL for texts without words."""
     rows = typed(docs, text="string", doc_id="long").withColumn("digest", F.xxhash64("text"))
     chunks = packing.chunked(rows, digest="long")
     total = integer(chunks, F.sum("n_words"))
@@ -301,10 +307,11 @@ def link_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     per_node = known.groupBy("node").agg(F.min("doc_id").alias("first")).join(labels, "node", "left")
     per_node = per_node.withColumn("comp", F.coalesce("comp", "node"))
     smallest = per_node.groupBy("comp").agg(F.min("first").alias("component_id"))
-    named = per_node.join(smallest, "comp").select("node", "component_id")
+    named = per_node.join(smallest, "comp").select("node", "comp", "component_id")
     return meta.join(named, "node", "left").select(
         "doc_id", "digest", F.col("n").alias("n_shingles"),
         F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "comp",
     )
 
 

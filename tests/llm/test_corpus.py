@@ -295,3 +295,20 @@ def test_pipeline_stages(spark, folder_docs):
     assert kept == sorted(kept, reverse=True) and kept[-1] > 100
     ran = corpus_pipeline.run(spark, TEST_FOLDER)
     assert Counter(map(tuple, ran.collect())) == Counter(map(tuple, frame.collect()))
+
+
+def test_near_copies_keeps_one_row_of_every_component(spark):
+    """Components that share a name, through NULL or repeated doc_ids, stay apart."""
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    table = [
+        (None, "first text without an id"), (None, "second text, other words"), (None, "second text, other words"),
+        (3, a), (9, a.replace("a30 ", "changed ")), (3, b), (10, b.replace("b30 ", "changed ")),
+        (None, c), (4, c.replace("c30 ", "changed ")), (None, ""), (None, " \n"), (5, ""), (6, ""), (6, ""), (None, None),
+    ]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in table],
+                                  "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_copies(spark, frame.repartition(4), TEST_FOLDER).select("doc_id", "text").collect()
+    assert Counter(map(tuple, got)) == Counter([
+        (None, table[0][1]), (None, table[1][1]), (3, a), (3, b), (4, c.replace("c30 ", "changed ")),
+        (None, ""), (None, " \n"), (5, ""), (6, ""), (None, None),
+    ])
