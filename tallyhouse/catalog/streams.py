@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.catalog.base import query
 from tallyhouse.session import fresh_path
 from tallyhouse.sources.retail import Retail
-from tallyhouse.streaming.daily_sales import stream_daily_sales, write_stream
+from tallyhouse.streaming.daily_sales import daily_sales, stream_silver, write_stream
 from tallyhouse.streaming.ingest import ingest, read_files
 
 COLUMNS = ("order_id", "customer_id", "order_date", "order_status", "total_amount")
@@ -43,10 +43,10 @@ def st1(r: Retail) -> DataFrame:
     "ord",
 )
 def st2(r: Retail) -> DataFrame:
-    """The newest day is still open when the stream ends: its window is not yet passed."""
+    """One file per micro-batch. All days are computed; the SQL leaves the newest, still open one out."""
     source, rows = landed(r)
-    daily = stream_daily_sales(read_files(r.spark, source, rows.schema), delay="0 seconds")
-    target = fresh_path(r.spark, "daily-sales")
-    state, slots = fresh_path(r.spark, "daily-state"), r.spark.sparkContext.defaultParallelism
-    write_stream(daily, target, state, state_partitions=slots).awaitTermination()
-    return r.spark.read.parquet(target)
+    target, state = fresh_path(r.spark, "silver-orders"), fresh_path(r.spark, "silver-state")
+    stream = read_files(r.spark, source, rows.schema, files_per_batch=1)
+    write_stream(stream_silver(stream), target, state).awaitTermination()
+    daily = daily_sales(r.spark.read.parquet(target))
+    return daily.where(F.col("order_date") < daily.agg(F.max("order_date")).scalar())

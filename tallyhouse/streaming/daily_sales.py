@@ -1,4 +1,8 @@
-"""Daily sales on a stream of orders."""
+"""Daily sales on a stream of orders.
+
+``stream_daily_sales`` keeps bounded state and drops rows later than its delay. Where no row may be lost,
+the silver rows of ``stream_silver`` are appended and ``daily_sales`` is taken from what is stored.
+"""
 
 from __future__ import annotations
 
@@ -9,10 +13,23 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.operators.relational import mean
-from tallyhouse.plans.medallion import silver_orders
+from tallyhouse.plans.medallion import gold_daily_sales, silver_orders
 from tallyhouse.schemas import AMOUNT_BANDS
 
 
+def stream_silver(stream: DataFrame, bands: Sequence[tuple[Any, str]] = AMOUNT_BANDS) -> DataFrame:
+    """The silver rows that the daily rollup needs. No state: a row is never too late, and the
+    sink's commit log records a repeated batch once."""
+    return silver_orders(stream, bands).select("order_id", "customer_id", "order_date", "total_amount")
+
+
+def daily_sales(stored: DataFrame) -> DataFrame:
+    """The daily rollup of all silver rows stored so far, the newest day included."""
+    return gold_daily_sales(stored).select(
+        "order_date", "total_orders", "unique_customers", "total_revenue", "avg_order_value"
+    )
+
+
 def stream_daily_sales(
     stream: DataFrame, delay: str = "1 day", bands: Sequence[tuple[Any, str]] = AMOUNT_BANDS
 ) -> DataFrame:
@@ -45,7 +62,7 @@ def stream_daily_sales(
 def write_stream(
     daily: DataFrame, target: str, checkpoint: str, state_partitions: int | None = None
 ) -> StreamingQuery:
-    """Append finished days to Parquet files, process what is there, then stop.
+    """Append finished days (or silver rows) to Parquet files, process what is there, then stop.
 
     The number of state partitions is fixed by the first run of a checkpoint, so it is stated
     here rather than left to whatever the session's batch jobs use.

@@ -11,7 +11,7 @@ from tallyhouse import schemas, session
 from tallyhouse.functions import expressions as X
 from tallyhouse.sources import generators, readers, writers
 from tallyhouse.sources.storage import Storage
-from tallyhouse.streaming.daily_sales import stream_daily_sales, write_stream
+from tallyhouse.streaming.daily_sales import daily_sales, stream_daily_sales, stream_silver, write_stream
 from tallyhouse.streaming.ingest import ingest, read_files
 from tests.conftest import SPARK_ERRORS, rows
 
@@ -181,3 +181,33 @@ def test_stream_late_rows(spark):
     assert sorted((str(d), n, c, float(v)) for d, n, c, v in rows(got)) == [
         ("2024-01-01", 4, 3, 27.0), ("2024-01-02", 1, 1, 8.0), ("2024-01-10", 1, 1, 1.0)
     ]
+
+
+def test_daily_sales_lose_no_order_over_batches(spark, retail):
+    """Unsorted orders, one file per batch, a late file after a restart: every order and the newest day count."""
+    source, target, state = (session.fresh_path(spark, n) for n in ("in", "out", "state"))
+    orders = retail.orders.select("order_id", "customer_id", "order_date", "order_status", "total_amount")
+    late = F.col("order_id") % 5 == 0
+    for part in (orders.where(~late).repartition(4), orders.where(late).coalesce(1)):
+        part.write.mode("append").parquet(source)
+        stream = read_files(spark, source, orders.schema, files_per_batch=1)
+        write_stream(stream_silver(stream), target, state).awaitTermination()
+    orders.createOrReplaceTempView("all_orders")
+    want = spark.sql("""select order_date, count(*), count(distinct customer_id), sum(total_amount),
+                               cast(sum(total_amount) as double) / count(*) from all_orders group by 1""")
+    got = rows(daily_sales(spark.read.parquet(target)).withColumn("avg_order_value", F.col("avg_order_value").cast("double")))
+    assert [r[:4] for r in got] == [r[:4] for r in rows(want)]
+    assert [r[4] for r in got] == pytest.approx([r[4] for r in rows(want)], rel=1e-6)
+    assert sum(r[1] for r in got) == orders.count() and max(r[0] for r in got) == orders.agg(F.max("order_date")).first()[0]
+
+
+def test_stream_query_takes_all_orders_of_closed_days(retail, monkeypatch):
+    """The query itself, one file per batch: orders of older days in later files are not dropped."""
+    from tallyhouse.catalog import streams
+
+    given = streams.read_files
+    monkeypatch.setattr(streams, "read_files", lambda s, p, t, files_per_batch=1: given(s, p, t, 1))
+    orders = retail.orders
+    newest = orders.agg(F.max("order_date")).first()[0]
+    got = streams.st2(retail).agg(F.sum("total_orders")).first()[0]
+    assert got == orders.where(F.col("order_date") < newest).count()
