@@ -1,7 +1,8 @@
 """Secrets in texts, with a random forest that removes false findings (op5), with DataFrame functions only.
 
-A finding is a run of at least ``LEAST`` characters of ``[A-Za-z0-9+/_-]`` with a digit in it. Its features
-are its length, shares of character classes, transitions between classes, distinct characters, the share
+A finding is a run of at least ``LEAST`` characters of ``[A-Za-z0-9+/_-]`` with a digit in it, the value
+assigned to a secret's name (of any length and characters, up to its quote or a blank), or a provider format
+anywhere, also inside a longer run. Findings may overlap; equal spans are one. Features are its length, shares of character classes, transitions between classes, distinct characters, the share
 that dictionary words cover, path marks around it, and the words before it. The forest is trained on
 labelled findings: a table of (match, before, after, label) if one is given, else findings that
 provider formats or an assignment to a secret's name mark as real, and the rest as false. The training set is bounded
@@ -23,8 +24,13 @@ from tallyhouse.llm.common import documents, query, stored, typed
 
 LEAST, MOST_LABELLED, TREES, DEPTH, ACCEPT = 14, 5000, 20, 6, 0.5
 FINDING = r"(?:\G|(?<![A-Za-z0-9+/_-]))(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{%d,}+" % LEAST
-PROVIDERS = r"^(AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abp]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{16,})$"
-ASSIGNED = r"""(?i)(pass(word|wd)?|token|secret|api[_-]?key|credential)\s*[=:]\s*["']?$"""
+PROVIDERS = (
+    "AKIA[0-9A-Z]{16}", "gh[pousr]_[A-Za-z0-9]{36}", "xox[abp]-[A-Za-z0-9-]{20,}", "sk_live_[A-Za-z0-9]{16,}",
+)
+NAME = r"(?i:pass(?:word|wd)?|token|secret|api[_-]?key|credential)"
+ASSIGNED = NAME + r"""["']?\s*[=:]\s*["']?$"""
+# The value is looked at, not consumed, so an assignment inside a value is found as well.
+VALUE = NAME + r"""["']?+\s*+[=:]\s*+["']?+(?=((?<=")[^"\r\n]++(?=")|(?<=')[^'\r\n]++(?=')|[^\s"']++))"""
 DICTIONARY = (
     "the", "and", "for", "with", "name", "file", "test", "example", "sample", "page", "version", "order",
     "index", "data", "image", "default", "user", "item", "list", "http", "html", "report", "table", "id",
@@ -37,20 +43,35 @@ FEATURES = (
 
 def findings(docs: DataFrame) -> DataFrame:
     """``row, doc_id, start, end, match, before, after`` of every finding."""
-    quoted = FINDING.replace("\\", "\\\\")
-    made = F.expr(f"""if(text rlike '[0-9]', element_at(transform(array(struct(
-        regexp_extract_all(text, '{quoted}', 0) as m, split(text, '{quoted}', -1) as p)), z ->
-      transform(filter(sequence(1, greatest(size(z.m), 1)), k -> k <= size(z.m)), k -> struct(
-        k as k, char_length(get(z.p, k - 1)) as gap, get(z.m, k - 1) as match,
-        right(get(z.p, k - 1), 32) as before, left(get(z.p, k), 8) as after))), 1), array())""")
+    def spans(kind: int, pattern: str, needs: str, group: int = 0) -> str:
+        """Matches of a pattern; with a group, what follows each match is the finding."""
+        quoted, needed = (x.replace("\\", "\\\\").replace("'", "\\'") for x in (pattern, needs))
+        found = f"regexp_extract_all(text, '{quoted}', 1)" if group else "cast(array() as array<string>)"
+        ahead = "get(z.v, k - 1)" if group else "''"
+        return f"""if(text rlike '{needed}', element_at(transform(array(struct(
+            regexp_extract_all(text, '{quoted}', 0) as m, split(text, '{quoted}', -1) as p, {found} as v)), z ->
+          transform(filter(sequence(1, greatest(size(z.m), 1)), k -> k <= size(z.m)), k -> struct(
+            {kind} as kind, k as k, char_length(get(z.p, k - 1)) + char_length(get(z.m, k - 1)) as step,
+            {"get(z.v, k - 1)" if group else "get(z.m, k - 1)"} as match, char_length({ahead}) as ahead,
+            right({"concat(get(z.p, k - 1), get(z.m, k - 1))" if group else "get(z.p, k - 1)"}, 32) as before,
+            left(substring(get(z.p, k), char_length({ahead}) + 1), 8) as after))), 1), array())"""
+
+    kinds = [spans(0, FINDING, "[0-9]"), spans(1, VALUE, NAME, 1)]
+    kinds += [spans(k, pattern, pattern) for k, pattern in enumerate(PROVIDERS, 2)]
     rows = typed(docs, doc_id="long", text="string").where("text is not null")
+    made = F.expr(f"concat({', '.join(kinds)})")
     found = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", made.alias("found")).where("size(found) > 0")
     # Stored before the row numbers are used as keys: they are not the same on another run.
     each = stored(found, "findings").select("row", "doc_id", F.explode("found").alias("f")).select("row", "doc_id", "f.*")
-    so_far = Window.partitionBy("row").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
-    return each.withColumn("end", F.sum(F.col("gap") + F.char_length("match")).over(so_far)).select(
-        "row", "doc_id", (F.col("end") - F.char_length("match")).alias("start"), "end", "match", "before", "after"
+    so_far = Window.partitionBy("row", "kind").orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    placed = each.withColumn("end", F.sum("step").over(so_far) + F.col("ahead")).select(
+        "row", "doc_id", (F.col("end") - F.char_length("match")).alias("start"), "end", "match", "kind", "before", "after"
     )
+    # A span found in several ways is one finding, with the surroundings that its first kind saw.
+    return placed.groupBy("row", "start", "end").agg(
+        F.first("doc_id").alias("doc_id"), F.first("match").alias("match"),
+        F.min_by(F.struct("before", "after"), "kind").alias("near"),
+    ).select("row", "doc_id", "start", "end", "match", "near.before", "near.after")
 
 
 def featured(found: DataFrame) -> DataFrame:
@@ -78,7 +99,7 @@ def featured(found: DataFrame) -> DataFrame:
 
 
 def rule_labels(found: DataFrame) -> DataFrame:
-    real = F.col("match").rlike(PROVIDERS) | F.col("before").rlike(ASSIGNED)
+    real = F.col("match").rlike("|".join(PROVIDERS)) | F.col("before").rlike(ASSIGNED)
     return found.withColumn("label", real.cast("double"))
 
 

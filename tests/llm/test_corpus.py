@@ -312,3 +312,24 @@ def test_near_copies_keeps_one_row_of_every_component(spark):
         (None, table[0][1]), (None, table[1][1]), (3, a), (3, b), (4, c.replace("c30 ", "changed ")),
         (None, ""), (None, " \n"), (5, ""), (6, ""), (None, None),
     ])
+
+
+def test_secrets_of_any_form(spark):
+    """Short, symbolic, digitless and glued secrets; false runs in the same table."""
+    aws, git = "AKIA" + "ABCDEFGH12345678", "ghp_" + "a1B2c3D4e5F6" * 3
+    cases = {
+        1: ('é🙂 password = "hunter2" end', "hunter2"), 2: ('password = "P@ssw0rd!2024"', "P@ssw0rd!2024"),
+        3: ('api_key = "correcthorsebatterystaple"', "correcthorsebatterystaple"), 4: ("see x/" + aws, aws),
+        5: ("key_" + git + " glued", git), 6: ("credential: s3cr&t\nmore", "s3cr&t"), 7: ("{'passwd': 'two words'}", "two words"),
+        8: ("passwd=token=abc", "abc"), 9: ("secret = 'it is", "it"),
+    }
+    rows = [(i, t) for i, (t, _) in cases.items()] + [(100 + k, f"see file-{k:06d}-of-report-{k * 7:05d} there") for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    every = Counter((r.doc_id, r.start, r.end) for r in secrets.findings(frame).collect())
+    for i, (text, want) in cases.items():
+        start = text.rindex(want)
+        assert every[i, start, start + len(want)] == 1, text
+    assert set(every.values()) == {1}
+    spans = {(r.doc_id, dict(rows)[r.doc_id][r.start : r.end]) for r in secrets.find_secrets(frame).collect()}
+    assert {(i, want) for i, (_, want) in cases.items()} <= spans
+    assert not any(i >= 100 for i, _ in spans)
