@@ -57,3 +57,18 @@ def held_out(doc_id: str = "doc_id"):
 def integer(df: DataFrame, expression) -> int:
     """One number of a table, 0 for an empty one."""
     return int(df.agg(expression.alias("x")).first()["x"] or 0)
+
+
+#: SQL for the 256 cells of a crc32 table as one list, from the polynomial.
+CRC_CELLS = """
+    select list(list_reduce(list_prepend(n, range(8)),
+        lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) order by n) as cells
+    from range(256) as r(n)"""
+
+
+def crc32_sql(digits: str) -> str:
+    """SQL for the crc32 of bytes given as hexadecimal digits; needs ``cells`` of CRC_CELLS in scope."""
+    return f"""xor(4294967295, list_reduce(
+            list_prepend(cast(4294967295 as bigint),
+                list_transform(regexp_extract_all({digits}, '..'), lambda pair: cast('0x' || pair as bigint))),
+            lambda c, b: xor(c >> 8, cells[xor(c & 255, b) + 1])))"""
