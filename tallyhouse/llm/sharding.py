@@ -22,7 +22,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tallyhouse.llm.common import CRC_CELLS, crc32_sql, documents, query, stored, typed
 from tallyhouse.operators.ordering import number_rows
@@ -116,11 +116,10 @@ def placed(docs: DataFrame, tree: Sequence[Shard] = TREE, larger: Sequence[Shard
     order = ["shard", F.col("doc_id").asc_nulls_last(), "size", "text_crc32", "row"]
     numbered = number_rows(small, order, "number")
     counts = small.groupBy("shard").agg(F.count("*").alias("n_rows"))
-    # One row per shard of the tree on both sides of this join.
-    earlier = counts.select(F.col("shard").alias("smaller"), F.col("n_rows").alias("before"))
-    first = (
-        counts.select(F.col("shard").alias("home")).join(F.broadcast(earlier), F.col("smaller") < F.col("home"), "left")
-        .groupBy("home").agg(F.coalesce(F.sum("before"), F.lit(0)).alias("first"))
+    # One row per shard of the tree: a window over them all is bounded, and so is the broadcast.
+    earlier = W.orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
+    first = counts.select(
+        F.col("shard").alias("home"), F.coalesce(F.sum("n_rows").over(earlier), F.lit(0)).alias("first")
     )
     return numbered.join(F.broadcast(first), F.col("shard") == F.col("home")).select(
         "doc_id", "size", "text_crc32", "law", "shard", (F.col("number") - 1 - F.col("first")).alias("slot"), "grown_shard"
