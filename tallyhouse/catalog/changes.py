@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.catalog.base import query
-from tallyhouse.operators import changes
+from tallyhouse.operators import changes, layout
 from tallyhouse.session import fresh_path
 from tallyhouse.sources.retail import Retail
 
@@ -131,6 +131,33 @@ def m07(r: Retail) -> DataFrame:
     return r.spark.read.schema(base(r).schema).parquet(path)
 
 
+@query(
+    "m07_copy_on_write_nested",
+    """select order_id, cast(total_amount as double) as total_amount,
+              case when order_id % 40 = 7 then 2030 else year(order_date) end as y,
+              case when order_id % 40 = 7 then 1 else month(order_date) end as m
+       from (select order_id, order_date, case when month(order_date) = 2 and order_id % 3 = 0 or order_id % 40 = 7
+                    then total_amount + 1 else total_amount end as total_amount from ord)
+       where not (year(order_date) = 1995 and month(order_date) = 5)""",
+    "ord",
+)
+def m07_nested(r: Retail) -> DataFrame:
+    """Folders by year and month: rows change in place, some move to a month without a folder, one month goes."""
+    path = fresh_path(r.spark, "orders-by-month")
+    orders = layout.with_year_month(r.orders.select("order_id", "order_date", "total_amount"), "order_date")
+    layout.write_partitioned(orders, path, ["y", "m"])
+    moved = F.col("order_id") % 40 == 7
+    gone = (F.col("y") == 1995) & (F.col("m") == 5)
+    changed = (F.col("m") == 2) & (F.col("order_id") % 3 == 0)
+    delta = orders.where(gone | moved | changed).select(
+        "order_id", "order_date", (F.col("total_amount") + 1).cast("decimal(18,2)").alias("total_amount"),
+        F.when(moved, 2030).otherwise(F.col("y")).alias("y"), F.when(moved, 1).otherwise(F.col("m")).alias("m"),
+        F.when(gone, "D").otherwise("U").alias("op"),
+    )
+    changes.cow_apply(r.spark, path, delta, ["order_id"], ["y", "m"])
+    return r.spark.read.parquet(path).select("order_id", "total_amount", "y", "m")
+
+
 @query("m08_materialize", MOR_SQL, "cust")
 def m08(r: Retail) -> DataFrame:
     path = fresh_path(r.spark, "customers")

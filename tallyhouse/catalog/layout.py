@@ -148,25 +148,37 @@ def l10(r: Retail) -> DataFrame:
     return health.withColumn("part", F.regexp_extract("part", PARTS, 1))
 
 
-@query("l11_compact", ORDER_SQL, "ord")
-def l11(r: Retail) -> DataFrame:
+def compacted(r: Retail, **options) -> DataFrame:
+    """The rows after a compaction, and whether their folder has fewer files than before."""
     path = scattered(r)
-    layout.compact(r.spark, path)
-    return r.spark.read.parquet(path).select(*COLUMNS)
+    listed = lambda name: layout.file_inventory(r.spark, path).groupBy(
+        F.regexp_extract("file_path", PARTS, 1).alias("order_status")
+    ).agg(F.count("*").alias(name))
+    before = fresh_path(r.spark, "files-before")
+    listed("files_before").write.parquet(before)  # counted before the files move
+    layout.compact(r.spark, path, **options)
+    counts = listed("files_after").join(r.spark.read.parquet(before), "order_status")
+    fewer = counts.select("order_status", (F.col("files_after") < F.col("files_before")).alias("fewer_files"))
+    return r.spark.read.parquet(path).select(*COLUMNS).join(fewer, "order_status")  # a row per folder
+
+
+def compacted_sql(fewer: str) -> str:
+    return ORDER_SQL.replace(" from ord", f", {fewer} as fewer_files from ord")
+
+
+@query("l11_compact", compacted_sql("true"), "ord")
+def l11(r: Retail) -> DataFrame:
+    return compacted(r)
 
 
-@query("l12_compact_where", ORDER_SQL, "ord")
+@query("l12_compact_where", compacted_sql("order_status = 'F'"), "ord")
 def l12(r: Retail) -> DataFrame:
-    path = scattered(r)
-    layout.compact(r.spark, path, where=F.col("order_status") == "F")
-    return r.spark.read.parquet(path).select(*COLUMNS)
+    return compacted(r, where=F.col("order_status") == "F")
 
 
-@query("l13_compact_sorted", ORDER_SQL, "ord")
+@query("l13_compact_sorted", compacted_sql("true"), "ord")
 def l13(r: Retail) -> DataFrame:
-    path = scattered(r)
-    layout.compact(r.spark, path, strategy="sort", sort=["customer_id", "order_date"])
-    return r.spark.read.parquet(path).select(*COLUMNS)
+    return compacted(r, strategy="sort", sort=["customer_id", "order_date"])
 
 
 @query(

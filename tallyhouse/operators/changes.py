@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tallyhouse.operators.layout import plain_path
+from tallyhouse.operators.layout import listed_files, literal_path, plain_path, written_value
+from tallyhouse.operators.swaps import Journal, Swap
 from tallyhouse.session import fresh_path
-from tallyhouse.sources.storage import Storage
 
 
 def insert(base: DataFrame, new_rows: DataFrame) -> DataFrame:
@@ -113,59 +113,106 @@ def materialize(
     return spark.read.parquet(path), deletes.limit(0), upserts.limit(0)
 
 
+def _arrival_names(spark: SparkSession, parts: Sequence[str]) -> Column:
+    """The folder name Spark's own writer gives to text values of the partition columns."""
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    special = sorted({chr(c) for c in range(1, 128) if escape.needsEscaping(chr(c))})
+    name = None
+    for part in parts:
+        value = F.col(part)
+        for sign in ["%", *[c for c in special if c != "%"]]:  # the escape sign itself first
+            value = F.replace(value, F.lit(sign), F.lit(f"%{ord(sign):02X}"))
+        value = F.when(F.coalesce(F.col(part), F.lit("")) == "", "__HIVE_DEFAULT_PARTITION__").otherwise(value)
+        piece = F.concat(F.lit(f"/{part}="), value)
+        name = piece if name is None else F.concat(name, piece)
+    return name if name is not None else F.lit("")
+
+
 def cow_apply(
-    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], part: str,
+    spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str], part: str | Sequence[str],
     op: str = "op",
 ) -> list[Any]:
     """Copy on write: rewrite only the partition folders that hold changed keys.
 
-    ``changes`` holds full rows with ``op`` U (insert or replace) or D (delete). A row may move
-    to another partition. New folders are written to a staging path, checked, and swapped in
-    with a dynamic partition overwrite; folders left without rows are removed. Returns the
-    rewritten partition values.
+    ``changes`` holds full rows with ``op`` U (insert or replace) or D (delete); ``part`` is the
+    partition column or columns, from the outermost on. A row may move to another partition. A folder is what
+    its name says, not what the value is read as: rows that are not replaced stay in ``p=01`` even if ``p=1`` exists
+    too, and a new row goes to the first folder whose value equals its own, or to a new one. Files are staged,
+    compared by count, and swapped in for all folders under one commit record: a crash leaves
+    the table as before, or as after once ``Journal.recover`` (which every call starts with) has run. Folders left
+    without files are removed. Returns the rewritten partition values, tuples for several columns.
     """
-    keys = list(keys)
+    keys, parts = list(keys), [part] if isinstance(part, str) else list(part)
+    journal = Journal(spark, path)
+    journal.recover()
     base = spark.read.parquet(path)
+    types = {f.name: f.dataType for f in base.schema}
+    data = [c for c in base.columns if c not in parts]
     delta = fresh_path(spark, "changes")  # several steps read the changes: compute them once
     _distinct_or_error(changes, keys).write.parquet(delta)
     unique = spark.read.parquet(delta)
-    touched_base = base.join(unique.select(*keys), keys, "left_semi").select(part)
-    arriving = unique.where(F.col(op) != "D").select(F.col(part).cast(base.schema[part].dataType))
-    touched = sorted(  # one value per partition folder
-        (r[0] for r in touched_base.unionByName(arriving).distinct().collect()), key=str
+    arriving = unique.where(F.col(op) != "D").select(*[F.col(c).cast(types[c]) for c in base.columns])
+
+    # Folders: one row each, from the file listing.
+    files, _ = listed_files(spark, path)
+    known = files.select("folder").distinct().select(
+        "folder", *[written_value("folder", p).cast(types[p]).alias(f"_f_{p}") for p in parts]
     )
+    # With `01` and `1` the smaller name takes what arrives; one row per value.
+    homes = known.groupBy(*[f"_f_{p}" for p in parts]).agg(F.min("folder").alias("home"))
+    values = arriving.select(*parts).distinct()
+    same = F.lit(True)
+    for p in parts:
+        same = same & F.col(p).eqNullSafe(F.col(f"_f_{p}"))
+    texts = F.struct(*[F.col(p).cast("string").alias(p) for p in parts])
+    if parts:
+        valued = values.join(homes, same, "left").select(
+            *[F.col(p).alias(f"_a_{p}") for p in parts], "home", texts.alias("_text")
+        ).select(*[f"_a_{p}" for p in parts], "home", "_text.*")
+        fresh = F.concat(F.lit(journal.root), _arrival_names(spark, parts))
+        to_folder = valued.select(*[f"_a_{p}" for p in parts], F.coalesce("home", fresh).alias("folder"))
+    else:
+        to_folder = arriving.limit(1).select(F.lit(journal.root).alias("folder"))
+    place = F.regexp_replace(plain_path(F.col("_metadata.file_path")), "/[^/]+$", "")
+    holding = base.select(*keys, place.alias("folder")).join(unique.select(*keys), keys, "left_semi").select("folder")
+    touched = [  # one row per folder to rewrite
+        r["folder"] for r in holding.unionByName(to_folder.select("folder")).distinct().orderBy("folder").collect()
+    ]
     if not touched:
         return []
-    listed = [v for v in touched if v is not None]
-    here = F.col(part).isin(listed)
-    if None in touched:
-        here = here | F.col(part).isNull()
-    result = mor_read(
-        base.where(here),
-        unique.where(F.col(op) == "D"),
-        unique.where(F.col(op) != "D").select(*base.columns),
-        keys,
-    )
-    staging = fresh_path(spark, "rewrite")
-    result.hint("rebalance", F.col(part)).write.partitionBy(part).parquet(staging)
-    staged = spark.read.schema(base.schema).parquet(staging)
-    # The merge is not repeated for this check: counting needs its key columns only.
-    if staged.count() != result.count():
+    number = spark.createDataFrame(list(enumerate(touched)), "_group int, _folder string")
+    old = {folder: [] for folder in touched}
+    for file in files.join(number, F.col("folder") == F.col("_folder"), "left_semi").toLocalIterator():
+        old[file["folder"]].append(file["path"])
+    read = [file for folder in touched for file in old[folder]]
+
+    upserts = arriving.withColumn("_op", F.lit("U"))
+    if parts:
+        same_value = F.lit(True)
+        for p in parts:
+            same_value = same_value & F.col(p).eqNullSafe(F.col(f"_a_{p}"))
+        located = upserts.join(to_folder, same_value)
+    else:
+        located = upserts.withColumn("folder", F.lit(journal.root))
+    result = located.join(number, F.col("folder") == F.col("_folder")).select(*data, "_group")
+    if read:
+        schema = T.StructType([f for f in base.schema if f.name in data])
+        opened = spark.read.schema(schema).parquet(*[literal_path(file) for file in read])
+        opened = opened.select(*data, place.alias("_at")).join(number, F.col("_at") == F.col("_folder"))
+        keyed = opened.withColumns({p: written_value("_at", p).cast(types[p]) for p in parts if p in keys})
+        result = keyed.join(unique.select(*keys), keys, "left_anti").select(*data, "_group").unionByName(result)
+    staging = journal.staging()
+    result.hint("rebalance", F.col("_group")).write.partitionBy("_group").parquet(staging)
+    # The merge is repeated for this check with its key columns only; one row per folder.
+    staged = spark.read.schema(result.schema).parquet(staging)
+    counts = [{r["_group"]: r["count"] for r in df.groupBy("_group").count().collect()} for df in (result, staged)]
+    if counts[0] != counts[1]:
+        journal.store.remove(staging)
         raise RuntimeError("the staged rows differ from the merged ones; nothing was changed")
-    kept = {r[0] for r in staged.select(part).distinct().collect()}
-    emptied = [v for v in touched if v not in kept]
-    stale = []
-    if emptied:
-        lost = F.col(part).isin([v for v in emptied if v is not None])
-        if None in emptied:
-            lost = lost | F.col(part).isNull()
-        gone = base.where(lost).select(F.col("_metadata.file_path").alias("f"))
-        folder = F.regexp_replace(plain_path(F.col("f")), "/[^/]+$", "")
-        stale = [r[0] for r in gone.distinct().select(folder).distinct().collect()]
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        part
-    ).parquet(path)
-    store = Storage(spark, path)
-    for leftover in stale:
-        store.remove(leftover)
-    return touched
+    journal.commit([
+        Swap(folder, old[folder], journal.store.data_files(f"{staging}/_group={n}")) for n, folder in enumerate(touched)
+    ])
+    journal.store.remove(staging)
+    shown = number.select(*[written_value("_folder", p).cast(types[p]).alias(p) for p in parts])
+    found = [tuple(r) if len(parts) != 1 else r[0] for r in shown.collect()]
+    return sorted(found, key=str)

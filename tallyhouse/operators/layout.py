@@ -9,13 +9,13 @@ from __future__ import annotations
 
 import math
 import re
-import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window as W, functions as F
 
-from tallyhouse.sources.storage import Storage
+from tallyhouse.operators.swaps import Journal, Swap, in_parallel, replace_files  # noqa: F401  (replace_files: used by callers)
+from tallyhouse.session import fresh_path
 
 MB = 1 << 20
 # File-size guidance.
@@ -141,25 +141,66 @@ def content_check(df: DataFrame) -> tuple[int, int]:
 
 
 LISTING = ("path", "modificationTime", "length", "content")
+# A rewritten batch: one Spark job and what the driver holds of the plan, file names only.
+BATCH_BYTES = 64 << 30
+BATCH_GROUPS = 1000
+BATCH_FILES = 20_000
 
 
-def _groups(spark: SparkSession, path: str, where: Column | None) -> DataFrame:
-    """One row per partition folder: partition values as written in its name (so that ``01`` and
-    ``1`` stay two folders), folder, files, bytes. A file listing only."""
+def listed_files(spark: SparkSession, path: str, where: Column | None = None) -> tuple[DataFrame, list[str]]:
+    """Every data file with its folder and size, and the names of the partition columns. A file
+    listing only; ``where`` restricts by partition columns."""
     listing = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    parts = [c for c in listing.columns if c not in LISTING]
     if where is not None:
         listing = listing.where(where)
-    parts = [c for c in listing.columns if c not in LISTING]
-    folders = listing.groupBy(_folder(F.col("path")).alias("_folder")).agg(
-        F.count("*").alias("_files"), F.sum("length").alias("_bytes")
-    )
+    return listing.select("path", _folder(F.col("path")).alias("folder"), "length"), parts
+
+
+def written_value(folder: str, name: str) -> Column:
+    """A partition value as its folder's name writes it, so that ``01`` and ``1`` stay apart."""
+    raw = F.regexp_extract(folder, f"/{re.escape(name)}=([^/]*)", 1)
+    return F.when(raw != "__HIVE_DEFAULT_PARTITION__", plain_path(raw))
+
 
-    def written(name: str) -> Column:
-        raw = F.regexp_extract("_folder", f"/{re.escape(name)}=([^/]*)", 1)
-        value = F.url_decode(F.regexp_replace(raw, r"\+", "%2B"))
-        return F.when(raw != "__HIVE_DEFAULT_PARTITION__", value).alias(name)
+def literal_path(path: str) -> str:
+    """A path whose signs are not taken for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
 
-    return folders.select(*[written(c) for c in parts], "_folder", "_files", "_bytes")
+
+def file_groups(files: DataFrame, target_bytes: int, min_input_files: int, group_bytes: int, whole: bool) -> DataFrame:
+    """Files to be rewritten together: ``folder, number, files, n_files, bytes``.
+
+    Files near the target are left alone, the others are packed in order of size into groups of
+    about ``group_bytes``. A group counts if it has enough files and will become fewer. ``whole`` takes every
+    file of a folder as one group. Windows run over the file names of one folder.
+    """
+    if whole:
+        numbered = files.withColumn("number", F.lit(0))
+    else:
+        small = files.where(F.col("length") < 0.75 * target_bytes)
+        through = F.sum("length").over(
+            W.partitionBy("folder").orderBy("length", "path").rowsBetween(W.unboundedPreceding, W.currentRow)
+        )
+        numbered = small.withColumn("number", F.floor((through - F.col("length")) / group_bytes).cast("int"))
+    groups = numbered.groupBy("folder", "number").agg(
+        F.collect_list("path").alias("files"), F.count("*").alias("n_files"), F.sum("length").alias("bytes")
+    ).where(F.col("n_files") >= min_input_files)
+    return groups if whole else groups.where(F.col("n_files") > F.ceil(F.col("bytes") / target_bytes))
+
+
+def _batches(groups: Iterator[Row], most_bytes: int) -> Iterator[list[Row]]:
+    batch: list[Row] = []
+    size = files = 0
+    for group in groups:
+        full = size + group["bytes"] > most_bytes or files + group["n_files"] > BATCH_FILES or len(batch) >= BATCH_GROUPS
+        if batch and full:
+            yield batch
+            batch, size, files = [], 0, 0
+        batch.append(group)
+        size, files = size + group["bytes"], files + group["n_files"]
+    if batch:
+        yield batch
 
 
 def compact(
@@ -170,104 +211,81 @@ def compact(
     where: Column | None = None,
     strategy: str = "binpack",
     sort: Sequence[str] = (),
+    group_bytes: int | None = None,
+    batch_bytes: int = BATCH_BYTES,
 ) -> DataFrame:
-    """Rewrite the folders of a Parquet table that hold too many files.
-
-    ``where`` restricts by partition columns. ``strategy="sort"`` also orders the rows by ``sort``.
-    Rows are dealt evenly over ceil(bytes/target) slots per folder by a hash of the row's
-    position in its old file, so equal rows do not pile up. The new files are staged inside the
-    table folder (hidden from readers), compared with the old rows by count and checksum, and
-    only then moved in; the old files stay in a hidden folder until every move succeeded.
-    Returns one row per rewritten folder.
+    """Rewrite groups of small files of a Parquet table into files near the target size.
+
+    ``where`` restricts by partition columns. ``strategy="sort"`` rewrites whole folders and orders
+    the rows by ``sort``. Groups are planned from the file listing and rewritten a batch at a time: one Spark job
+    stages the files of a batch in a hidden folder, count and checksum of old and new rows are compared, then every
+    group is swapped in with a commit record of its own. Finished groups stay finished: a run
+    that is killed leaves all rows in place, and the next one first carries out what was committed, then goes
+    on with the groups that are left. Rows are dealt over ceil(bytes/target) slots per group by
+    a hash of their position in the old file, so equal rows do not pile up. Returns one row per group.
     """
     if strategy not in ("binpack", "sort") or (strategy == "sort") != bool(sort):
         raise ValueError("strategy is binpack, or sort with at least one sort column")
-    store = Storage(spark, path)
-    root = store.full_path(path).rstrip("/")
-    source = spark.read.parquet(path)
-    groups = _groups(spark, path, where)
-    parts = [c for c in groups.columns if c not in ("_folder", "_files", "_bytes")]
-    worthwhile = F.col("_files") >= min_input_files
-    if not sort:
-        worthwhile = worthwhile & (F.col("_files") > F.ceil(F.col("_bytes") / target_bytes))
-    plan = groups.where(worthwhile).collect()
-    report_schema = "part string, files_before int, files_after int, bytes bigint"
-    if not plan:
-        return spark.createDataFrame([], report_schema)
+    journal = Journal(spark, path)
+    journal.recover()
+    files, _ = listed_files(spark, path, where)
+    groups = file_groups(files, target_bytes, min_input_files, group_bytes or 16 * target_bytes, whole=bool(sort))
+    plan = fresh_path(spark, "compaction-plan")  # fixed before the first file moves
+    groups.write.parquet(plan)
+    report = []
+    for batch in _batches(spark.read.schema(groups.schema).parquet(plan).toLocalIterator(), batch_bytes):
+        report += _rewrite(spark, journal, batch, target_bytes, sort)
+    return spark.createDataFrame(
+        report, "part string, file_group int, files_before int, files_after int, bytes bigint, bytes_after bigint"
+    )
 
+
+def _rewrite(
+    spark: SparkSession, journal: Journal, batch: Sequence[Row], target_bytes: int, sort: Sequence[str]
+) -> list[tuple]:
+    """Stage, compare and swap one batch of groups; one report row per group."""
     slots, dealing = 0, []
-    for group in plan:
-        wanted = max(1, math.ceil(group["_bytes"] / target_bytes))
-        dealing.append((*[group[c] for c in parts], slots, wanted))
+    for number, group in enumerate(batch):
+        wanted = max(1, math.ceil(group["bytes"] / target_bytes))
+        dealing += [(file, number, slots, wanted) for file in group["files"]]
         slots += wanted
-    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", group["_folder"]) for group in plan]  # no glob signs
-    as_written = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name in parts else f.dataType) for f in source.schema]
-    )
-    chosen = spark.read.schema(as_written).option("basePath", root).parquet(*literal)
+    # Read by name: files that arrive later are left alone, partition values stay in the folders' names.
+    chosen = spark.read.option("mergeSchema", True).parquet(*[literal_path(file) for file, *_ in dealing])
     columns = chosen.columns
-    # The files of this listing are what is read; files that arrive later are left alone.
-    read = {file.rsplit("/", 1)[1] for file in chosen.inputFiles()}
-    place = F.pmod(
-        F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.row_index")), F.col("_wanted")
-    )
-    opened = chosen.select(*columns, "_metadata")
-    if parts:
-        schema = T.StructType([as_written[c] for c in parts])
-        schema.add("_first", "integer").add("_wanted", "integer")
-        lookup = spark.createDataFrame(dealing, schema).alias("l")  # one row per folder of the plan
-        same = [F.col(f"c.{p}").eqNullSafe(F.col(f"l.{p}")) for p in parts]
-        opened = opened.alias("c").join(F.broadcast(lookup), same).select("c.*", "_first", "_wanted")
-    else:
-        opened = opened.withColumns({"_first": F.lit(0), "_wanted": F.lit(slots)})
-    dealt = opened.select(*columns, (F.col("_first") + place).cast("int").alias("_slot"))
-    if strategy == "binpack":
-        packed = dealt.repartitionById(slots, F.col("_slot")).select(*columns)
+    lookup = spark.createDataFrame(dealing, "_file string, _group int, _first int, _wanted int")  # BATCH_FILES rows at most
+    opened = chosen.select(
+        *columns, plain_path(F.col("_metadata.file_path")).alias("_path"), F.col("_metadata.row_index").alias("_row")
+    ).join(F.broadcast(lookup), F.col("_path") == F.col("_file"))
+    place = F.pmod(F.xxhash64("_path", "_row"), F.col("_wanted"))
+    dealt = opened.select(*columns, "_group", (F.col("_first") + place).cast("int").alias("_slot"))
+    if not sort:
+        packed = dealt.repartitionById(slots, F.col("_slot"))
     else:
         # The slot comes last: it only breaks up runs of equal sort values.
-        keys = [*parts, *sort]
-        packed = (
-            dealt.repartitionByRange(slots, *keys, "_slot").sortWithinPartitions(*keys).select(*columns)
-        )
-    staging, retired = (f"{root}/_{word}-{uuid.uuid4().hex}" for word in ("staging", "retired"))
-    packed.write.partitionBy(*parts).parquet(staging)
-    if content_check(chosen) != content_check(spark.read.schema(chosen.schema).parquet(staging)):
-        store.remove(staging)
+        packed = dealt.repartitionByRange(slots, "_group", *sort, "_slot").sortWithinPartitions("_group", *sort)
+    staging = journal.staging()
+    packed.drop("_slot").write.partitionBy("_group").parquet(staging)
+    tagged = dealt.drop("_slot")  # the group is part of the compared row: none may end in another folder
+    if content_check(tagged) != content_check(spark.read.schema(tagged.schema).parquet(staging)):
+        journal.store.remove(staging)
         raise RuntimeError("the rewritten rows differ from the old ones; nothing was changed")
 
-    moves = []
-    for group in plan:
-        folder = group["_folder"]
-        inner = folder[len(root):]
-        old = [f for f in store.data_files(folder) if f.rsplit("/", 1)[1] in read]
-        new = store.data_files(staging + inner)
-        if old and not new and group["_bytes"] and spark.read.schema(as_written).parquet(*old).limit(1).count():
-            store.remove(staging)
-            raise RuntimeError(f"nothing was staged for {inner}; nothing was changed")
-        moves.append((group, folder, inner, old, new))
-    report = []
-    for group, folder, inner, old, new in moves:
-        replace_files(store, folder, old, new, retired + inner)
-        report.append((inner.lstrip("/"), len(old), len(new), group["_bytes"]))
-    store.remove(staging)
-    store.remove(retired)
-    return spark.createDataFrame(report, report_schema)
-
-
-def replace_files(store: Storage, folder: str, old: Sequence[str], new: Sequence[str], retired: str) -> None:
-    """Move ``old`` out of a folder and ``new`` in; on failure put everything back."""
-    store.make_folder(retired)
-    done: list[tuple[str, str]] = []
-    try:
-        for group, target in ((old, retired), (new, folder)):
-            for file in group:
-                moved = f"{target}/{file.rsplit('/', 1)[1]}"
-                store.move(file, moved)
-                done.append((moved, file))
-    except Exception:
-        for moved, file in reversed(done):
-            store.move(moved, file)
-        raise
+    def swap(numbered: tuple[int, Row]) -> tuple | None:
+        number, group = numbered
+        new = journal.store.data_files(f"{staging}/_group={number}")
+        if not new:  # files without rows
+            return None
+        size = sum(journal.store.size(file) for file in new)
+        journal.commit([Swap(group["folder"], group["files"], new)])
+        part = group["folder"][len(journal.root):].lstrip("/")
+        return part, group["number"], group["n_files"], len(new), group["bytes"], size
+
+    results = in_parallel(swap, list(enumerate(batch)))
+    for _, error in results:
+        if error is not None:
+            raise error
+    journal.store.remove(staging)
+    return [row for row, _ in results if row]
 
 
 def maintain(spark: SparkSession, tables: Mapping[str, str], **options: Any) -> DataFrame:
@@ -275,7 +293,7 @@ def maintain(spark: SparkSession, tables: Mapping[str, str], **options: Any) ->
     report = []
     for name, path in tables.items():
         try:
-            rewritten = compact(spark, path, **options).count()
+            rewritten = compact(spark, path, **options).select("part").distinct().count()
             report.append((name, "SUCCESS", rewritten, None))
         except Exception as error:
             report.append((name, "FAILED", None, str(error).splitlines()[0]))

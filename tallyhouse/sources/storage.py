@@ -25,6 +25,37 @@ class Storage:
     def remove(self, path: str) -> None:
         self._fs.delete(self._path_class(path), True)
 
+    def write_text(self, path: str, text: str) -> None:
+        """A whole file, there or not there: written under another name, then renamed."""
+        folder, name = path.rsplit("/", 1)
+        part = f"{folder}/.{name}"
+        out = self._fs.create(self._path_class(part), True)
+        try:
+            out.write(text.encode())
+        finally:
+            out.close()
+        self.move(part, path)
+
+    def read_text(self, path: str, jvm) -> str:
+        stream = self._fs.open(self._path_class(path))
+        try:
+            return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def names(self, folder: str) -> list[str]:
+        """Everything that lies directly in a folder, hidden or not."""
+        if not self.exists(folder):
+            return []
+        return [s.getPath().getName() for s in self._fs.listStatus(self._path_class(folder))]
+
+    def size(self, path: str) -> int:
+        return self._fs.getFileStatus(self._path_class(path)).getLen()
+
+    def remove_if_empty(self, folder: str) -> None:
+        if self.exists(folder) and not self.names(folder):
+            self._fs.delete(self._path_class(folder), False)
+
     def full_path(self, path: str) -> str:
         return self._fs.makeQualified(self._path_class(path)).toString()
 
