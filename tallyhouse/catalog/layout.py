@@ -80,7 +80,7 @@ def l03(r: Retail) -> DataFrame:
 
 @query("l04_bucketed", ORDER_SQL, "ord")
 def l04(r: Retail) -> DataFrame:
-    return rel.bucket_table(orders(r), "customer_id", 16, "orders_bucketed")
+    return rel.bucket_table(orders(r), "customer_id", label="orders_bucketed")
 
 
 @query("l05_sorted", f"{ORDER_SQL} where customer_id between 100 and 200", "ord")

@@ -291,9 +291,27 @@ def j08(r: Retail) -> DataFrame:
     "cust ord",
 )
 def j09(r: Retail) -> DataFrame:
-    customers = rel.bucket_table(r.customers.select("customer_id", "name"), "customer_id")
-    orders = rel.bucket_table(r.orders.select("customer_id", "order_id", "total_amount"), "customer_id")
-    return rel.bucket_join(customers, orders, "customer_id")
+    return bucketed_join(r.customers.select("customer_id", "name"), r.orders.select("customer_id", "order_id", "total_amount"))
+
+
+def bucketed_join(customers: DataFrame, orders: DataFrame) -> DataFrame:
+    buckets = rel.bucket_count(customers, orders)
+    sides = [rel.bucket_table(side, "customer_id", buckets) for side in (customers, orders)]
+    return rel.bucket_join(*sides, "customer_id")
+
+
+@query(
+    "j09_bucket_join_hot_keys",
+    """, skewed as (select *, case when order_id % 3 = 0 then 7 else customer_id end as owner from ord)
+       select cust.customer_id, name, order_id, cast(total_amount as double) as total_amount
+       from cust join skewed on owner = cust.customer_id""",
+    "cust ord",
+)
+def j09_hot(r: Retail) -> DataFrame:
+    """One customer holds a third of all orders."""
+    owner = F.when(F.col("order_id") % 3 == 0, 7).otherwise(F.col("customer_id")).cast("bigint")
+    orders = r.orders.select(owner.alias("customer_id"), "order_id", "total_amount")
+    return bucketed_join(r.customers.select(F.col("customer_id").cast("bigint"), "name"), orders)
 
 
 @query(

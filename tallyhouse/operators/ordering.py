@@ -74,3 +74,49 @@ def running_weight(
         .withColumn(name, F.col("_before") + F.col("_inside"))
         .drop(_PART, _PLACE, "_before", "_inside")
     )
+
+
+def ranked_and_total(
+    df: DataFrame, by: str, key: str, name: str, rank: str
+) -> tuple[DataFrame, Column]:
+    """Rows numbered by (``by`` ascending, NULLs last, then ``key``), with RANK() of the value.
+
+    A value's rank is the number of its first row. Inside a range partition that is where the run of
+    equal values begins; a run that goes on from the partition before has its rank carried over,
+    from whichever partition it began in. Only the carries, one row per partition, meet the rows:
+    nothing is joined on the value, so one that a third of all rows hold costs no more than others.
+    """
+    placed = _placed(df, [F.asc_nulls_last(by), F.asc(key)])
+    # Summaries of one row per partition: first and last value, rows, and how many rows hold the last value.
+    ends = placed.groupBy(_PART).agg(
+        F.count("*").alias("_rows"),
+        F.min_by(F.struct(by), _PLACE)[by].alias("_first"),
+        F.max_by(F.struct(by), _PLACE)[by].alias("_last"),
+    )
+    last = F.broadcast(ends.select(F.col(_PART).alias("_p"), "_last"))
+    tails = placed.join(last, F.col(_PART) == F.col("_p")).groupBy(_PART).agg(
+        F.count_if(F.col(by).eqNullSafe(F.col("_last"))).alias("_tail")
+    )
+    ordered = W.orderBy(_PART)
+    earlier = ordered.rowsBetween(W.unboundedPreceding, -1)
+    summary = ends.join(tails, _PART).withColumns({
+        "_before": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+        "_goes_on": (F.row_number().over(ordered) > 1) & F.col("_first").eqNullSafe(F.lag("_last").over(ordered)),
+    })
+    # The rank of the partition's last run, unless that run fills it and began earlier.
+    began = F.when(~(F.col("_goes_on") & (F.col("_tail") == F.col("_rows"))), F.col("_before") + F.col("_rows") - F.col("_tail") + 1)
+    carried = F.last_value(began, ignoreNulls=True).over(earlier)
+    carries = summary.select(
+        F.col(_PART).alias("_p"), "_before",
+        F.when(F.col("_goes_on"), carried).otherwise(F.col("_before") + 1).alias("_carry"),
+    )
+    inside = W.partitionBy(_PART).orderBy(_PLACE)
+    position = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1)) + 1
+    new_run = (position == 1) | ~F.col(by).eqNullSafe(F.lag(by).over(inside))
+    upto = inside.rowsBetween(W.unboundedPreceding, W.currentRow)
+    runs = placed.withColumn("_new", F.when(new_run, position)).withColumn("_run", F.max("_new").over(upto))
+    numbered = runs.join(F.broadcast(carries), F.col(_PART) == F.col("_p")).withColumns({
+        name: F.col("_before") + position,
+        rank: F.when(F.col("_run") == 1, F.col("_carry")).otherwise(F.col("_before") + F.col("_run")),
+    })
+    return numbered.select(*df.columns, name, rank), placed.agg(F.count("*")).scalar()

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tallyhouse.operators.ordering import number_rows, numbered_and_total
+from tallyhouse.operators.ordering import number_rows, ranked_and_total
 from tallyhouse.operators.relational import mean, top_k
 
 
@@ -79,13 +79,11 @@ def ntile_of(row_number: Column, total: Column, tiles: int) -> Column:
 def percentiles(df: DataFrame, by: str, key: str, tiles: int = 4) -> DataFrame:
     """PERCENT_RANK (as a fraction) and NTILE over the whole table, ascending, NULLs last.
 
-    Rows are numbered by range; a value's rank is the smallest number among its rows.
+    Rows are numbered by range; a value's rank is carried from partition to partition.
     """
-    numbered, total = numbered_and_total(df, [F.asc_nulls_last(by), F.asc(key)], "_row")
-    ranks = numbered.groupBy(by).agg(F.min("_row").alias("_rank")).withColumnRenamed(by, "_value")
-    joined = numbered.join(ranks, numbered[by].eqNullSafe(F.col("_value")))
+    ranked, total = ranked_and_total(df, by, key, "_row", "_rank")
     fraction = F.when(total > 1, (F.col("_rank") - 1) / (total - 1)).otherwise(F.lit(0.0))
-    return joined.select(
+    return ranked.select(
         *df.columns,
         fraction.alias("percent_rank"),
         ntile_of(F.col("_row"), total, tiles).alias("quartile"),

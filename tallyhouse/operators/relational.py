@@ -180,8 +180,7 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def small_enough(df: DataFrame, limit_bytes: int = 32 << 20) -> bool:
     """Whether Catalyst's own size estimate of a plan is within a broadcast budget."""
-    stats = df._jdf.queryExecution().optimizedPlan().stats()
-    return int(str(stats.sizeInBytes())) <= limit_bytes
+    return plan_bytes(df) <= limit_bytes
 
 
 def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -191,14 +190,31 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner
     return split_join(facts, lookup, key, how)
 
 
-def bucket_table(df: DataFrame, key: str, buckets: int = 16, label: str = "bucketed") -> DataFrame:
+BUCKET_BYTES = 128 << 20
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """Catalyst's own size estimate of a plan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def bucket_count(*frames: DataFrame, target_bytes: int = BUCKET_BYTES) -> int:
+    """Buckets for tables that will be joined with each other: a power of two, so that the largest
+    table's buckets are about ``target_bytes``, and tables with other powers still fit together."""
+    wanted = max(-(-plan_bytes(df) // target_bytes) for df in frames)
+    return 1 << max(0, wanted - 1).bit_length()
+
+
+def bucket_table(df: DataFrame, key: str, buckets: int | None = None, label: str = "bucketed") -> DataFrame:
     """A table hashed into buckets by ``key`` and sorted by it inside each file.
 
-    Rows are first brought together per bucket, so a bucket is one file rather than one file per
-    task; a bucket too large for one task is split into several files.
+    ``buckets`` comes from the table's size where it is not given; tables to be joined need the same
+    number (``bucket_count`` over all of them). Rows are first brought together per bucket, so a bucket is one
+    file rather than one file per task; a bucket too large for one task is split into several files.
     """
     spark = df.sparkSession
     name = fresh_name(label)
+    buckets = buckets or bucket_count(df)
     (
         df.withColumn("_bucket", F.pmod(F.hash(key), F.lit(buckets)))
         .hint("rebalance", F.col("_bucket"))
@@ -212,18 +228,53 @@ def bucket_table(df: DataFrame, key: str, buckets: int = 16, label: str = "bucke
     return spark.table(name)
 
 
+def salted_pair(left: DataFrame, right: DataFrame, key: str, how: str, cells: int) -> DataFrame:
+    """Join of rows of a few hot keys, where either side may hold many rows of a key.
+
+    Left rows get one of ``rows`` numbers and right rows one of ``columns`` numbers, each from a hash of the
+    row; a left row is repeated for all columns and a right row for all rows. Every pair meets in one of
+    about ``cells`` cells per key. For a left join the right side is only repeated, never dealt:
+    otherwise a left row would be unmatched in some of its cells.
+    """
+    columns = 1 if how == "left" else 1 << (cells.bit_length() // 2)
+    rows = max(1, cells // columns)
+    dealt = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    one = left.withColumn("_salt", dealt(left, rows)).withColumn("_salt2", every(columns))
+    other = right.withColumn("_salt2", dealt(right, columns)).withColumn("_salt", every(rows))
+    return one.join(other, [key, "_salt", "_salt2"], how).drop("_salt", "_salt2")
+
+
 def bucket_join(
-    left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_share: float | None = None
+    left: DataFrame, right: DataFrame, key: str, how: str = "inner", hot_share: float | None = 0.05
 ) -> DataFrame:
     """Join of two tables bucketed alike: no shuffle on either side.
 
-    A bucket is read by one task, which is wrong for a key that fills a bucket by itself. With
-    ``hot_share`` the left keys are looked at first (one pass over the key column), and if one
-    holds that share of the rows the join is shuffled with its hot keys split instead.
+    A bucket is read by one task, which is wrong for a key that fills a bucket by itself. Both sides are
+    looked at first (one pass over each key column, bounded sketches). Rows of keys that hold
+    ``hot_share`` of a side leave their buckets, on both sides, and are joined salted; the keys are sorted in their
+    files, so that part reads little else. All other rows stay in their buckets and are not shuffled.
+    ``hot_share=None`` does not look.
     """
-    if hot_share is not None and hot_keys(left, key, hot_share):
-        return split_join(left, right, key, how)
-    return left.hint("merge").join(right, key, how)
+    if how not in ("inner", "left"):
+        raise ValueError(f"unsupported join type {how}")
+    found = [] if hot_share is None else sorted({
+        k for side in (left, right) for k in hot_keys(side, key, hot_share) if k is not None
+    })
+    # A NULL key matches nothing. An inner join drops it; in a left join its rows are kept without a join.
+    lost = left.where(F.col(key).isNull()) if how == "left" else None
+    cold_left, cold_right = left.where(F.col(key).isNotNull()), right.where(F.col(key).isNotNull())
+    if found:
+        hot = F.col(key).isin(found)  # at most 1 / hot_share keys of each side
+        cold_left, cold_right = cold_left.where(~hot), cold_right.where(~hot)
+    joined = cold_left.hint("merge").join(cold_right, key, how)
+    if found:
+        cells = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        joined = joined.unionByName(salted_pair(left.where(hot), right.where(hot), key, how, cells))
+    if lost is not None:
+        types = {f.name: f.dataType for f in right.schema}
+        joined = joined.unionByName(lost.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in right.columns if c != key]))
+    return joined
 
 
 # --- sorts and limits -------------------------------------------------------
