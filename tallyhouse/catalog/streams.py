@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.catalog.base import query
 from tallyhouse.session import fresh_path
 from tallyhouse.sources.retail import Retail
+from tallyhouse.streaming.daily_fold import DailyFold, fold_stream
 from tallyhouse.streaming.daily_sales import daily_sales, stream_silver, write_stream
 from tallyhouse.streaming.ingest import ingest, read_files
 
@@ -50,3 +51,24 @@ def st2(r: Retail) -> DataFrame:
     write_stream(stream_silver(stream), target, state).awaitTermination()
     daily = daily_sales(r.spark.read.parquet(target))
     return daily.where(F.col("order_date") < daily.agg(F.max("order_date")).scalar())
+
+
+@query(
+    "st2_daily_fold",
+    """select order_date, count(*) as total_orders, count(distinct customer_id) as unique_customers,
+              cast(sum(total_amount) as double) as total_revenue,
+              cast(sum(total_amount) as double) / count(*) as avg_order_value
+       from ord group by 1""",
+    "ord",
+)
+def st2_fold(r: Retail) -> DataFrame:
+    """Orders land two years at a time, every tenth one a landing late; each landing is folded as it comes."""
+    rows = r.orders.select(*COLUMNS)
+    landing = F.floor(F.year("order_date") / 2) + F.when(F.col("order_id") % 10 == 0, 1).otherwise(0)
+    source, state = fresh_path(r.spark, "landing"), fresh_path(r.spark, "fold-state")
+    fold = DailyFold(r.spark, fresh_path(r.spark, "daily-sales"), unit="month")
+    landed_rows = rows.withColumn("_landing", landing)
+    for (number,) in sorted(landed_rows.select("_landing").distinct().collect()):  # one per two years
+        landed_rows.where(F.col("_landing") == number).drop("_landing").write.mode("append").parquet(source)
+        fold_stream(read_files(r.spark, source, rows.schema), fold, state).awaitTermination()
+    return fold.daily().drop("batch_id")
