@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.catalog.base import query
 from tallyhouse.functions.expressions import age
-from tallyhouse.operators import versions as v
+from tallyhouse.operators import schema_log as sl, versions as v
 from tallyhouse.session import fresh_name
 from tallyhouse.sources import writers
 from tallyhouse.sources.retail import Retail
@@ -194,6 +194,60 @@ def v14(r: Retail) -> DataFrame:
     return v.as_of(r.log, KEY, version=4, schema_log=columns)
 
 
+def evolved(r: Retail) -> tuple[DataFrame, DataFrame]:
+    """The orders' log stored by column id, and the log of its columns: commit 3 adds the status, commit 5 renames
+    the customer, commit 7 widens the amount (rounded to whole numbers before)."""
+    schema = sl.first_schema(r.spark, 1, {"customer_id": "bigint", "amount": "int"})
+    schema = sl.alter(schema, 3, add={"status": "string"})
+    schema = sl.alter(schema, 5, rename={"customer_id": "buyer_id"})
+    schema = sl.alter(schema, 7, widen={"amount": "bigint"})
+    whole = r.log.withColumns({"amount": F.floor("amount").cast("bigint"), "customer_id": F.col("customer_id").cast("bigint")})
+    names = [({"status"}, {}, 1, 2), (set(), {}, 3, 4), (set(), {"customer_id": "buyer_id"}, 5, 10)]
+    stored = None
+    for unknown, renamed, first, last in names:
+        part = whole.where(F.col("commit_id").between(first, last)).drop(*unknown).withColumnsRenamed(renamed)
+        part = sl.to_stored(part, schema, first, KEY)
+        stored = part if stored is None else stored.unionByName(part)
+    return stored, schema
+
+
+def evolved_sql(version: int, columns: str) -> str:
+    return f"""select order_id, {columns} from (
+        select *, row_number() over (partition by order_id order by commit_id desc) as place
+        from log where commit_id <= {version}) where place = 1 and op <> 'D'"""
+
+
+AMOUNT = "cast(floor(amount) as bigint) as amount"
+
+
+@query("v14_schema_first", evolved_sql(2, f"customer_id, {AMOUNT}"), "log")
+def v14_first(r: Retail) -> DataFrame:
+    return sl.read_version(*evolved(r), KEY, version=2)
+
+
+@query(
+    "v14_schema_added", evolved_sql(4, f"customer_id, {AMOUNT}, case when commit_id > 2 then status end as status"), "log"
+)
+def v14_added(r: Retail) -> DataFrame:
+    return sl.read_version(*evolved(r), KEY, version=4)
+
+
+@query(
+    "v14_schema_renamed",
+    evolved_sql(6, f"customer_id as buyer_id, {AMOUNT}, case when commit_id > 2 then status end as status"), "log",
+)
+def v14_renamed(r: Retail) -> DataFrame:
+    return sl.read_version(*evolved(r), KEY, ts="2024-01-07 18:00:00")
+
+
+@query(
+    "v14_schema_widened",
+    evolved_sql(10, f"customer_id as buyer_id, {AMOUNT}, case when commit_id > 2 then status end as status"), "log",
+)
+def v14_widened(r: Retail) -> DataFrame:
+    return sl.read_version(*evolved(r), KEY)
+
+
 @query("v15_backup", shown(state_sql()), "log")
 def v15(r: Retail) -> DataFrame:
     return writers.backup(v.as_of(r.log, KEY), fresh_name("orders_backup"))
