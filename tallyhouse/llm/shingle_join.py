@@ -5,13 +5,15 @@
    their prefixes, the first ``n - ceil(0.8 n) + 1`` shingles in that order. A shingle alone in its cell
    keeps its place in the prefix, but is no posting.
 2. Documents with one prefix and one size are a group, and equal sets are one node. Postings
-   (shingle, group) travel packed and sorted; a shingle with one group is dropped where it is met.
-3. In a round every shingle's list has a hub, and each other group is paired with the hub that it meets in most lists,
-   if size and position allow a link and they are not connected yet. Group pairs are expanded to
-   members, and members are verified on their whole texts. Found links are contracted to components. Rounds
-   with other hubs follow while many unconnected pairs are left and each round at least halves them; a last round pairs everything in a
-   list that is not connected, so no link between two components remains untested. A cluster of k
-   near copies costs a multiple of k pairs, not its square.
+   (shingle, group) travel packed and sorted; a shingle with one group is dropped where it is met. Groups are expanded to
+   their nodes in the lists that are left; the nodes of one group are a list of their own.
+3. The nodes of a list are ranked, those with the most company first: among near copies that is their common original.
+   A slice of ranks are hubs, and every hub meets all nodes behind it that are not connected with it yet, if sizes and positions allow a link. Slices
+   grow fourfold, and after each one found links are contracted: a list whose nodes are connected is done. A cluster of k near copies so costs
+   a multiple of k pairs, not its square. The last slice reaches the end of every list that is still open, so
+   no pair that could link two components remains untested.
+4. Pairs pass a sound test before their texts are fetched. A set's parity bitmap has two bits and more per shingle; where the
+   bitmaps of two sets differ in more bits than linked sets can differ in shingles, there is no link. Whole texts decide about the others.
 
 A text with fewer than five words is one shingle; without words (or NULL) it is linked with nothing
 and is its own component. Rows with one doc_id are separate rows; a NULL doc_id never names a
@@ -27,16 +29,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tallyhouse.llm import packing
 from tallyhouse.llm.common import documents, integer, query, stored, typed
 from tallyhouse.llm.components import contracted
 from tallyhouse.llm.rolling import mix, shingle_sets
 
-CELLS_PER_SHINGLE, BLOCK_BITS, POSTINGS_PER_PART, NEEDED_BITS = 8, 25, 1 << 21, 21
+CELLS_PER_SHINGLE, BLOCK_BITS, POSTINGS_PER_PART = 8, 25, 1 << 21
 MOST = 1 << 30  # a count stays there, so that it never turns back to 1
-HUB_ROUNDS, PAIRS_PER_POSTING, LATER = 3, 4, 4
+BITMAP_BITS = 25
+PAIRS_PER_POSTING = 3  # in a round, for each hub that a posting has met before; one hub at least
 
 
 class ChunkShingles:
@@ -94,7 +97,22 @@ def _key(values: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-META = "doc_id long, digest long, n long, node binary, gkey long"
+META = "doc_id long, digest long, n long, node binary, gkey long, parity binary"
+
+
+def parity_bitmap(found: np.ndarray) -> bytes:
+    """One bit per value modulo the bitmap's size, flipped by every value: a power of two of at least 64 bits and 2 a value."""
+    bits = max(64, 1 << int(2 * len(found) - 1).bit_length())
+    odd = np.bincount((mix(found) % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
+    return np.packbits(odd).tobytes()
+
+
+def fewest_differences(one: bytes, other: bytes) -> int:
+    """Two sets differ in at least so many values. A larger bitmap is folded to the size of the smaller one."""
+    x, y = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
+    # Bit b of n bits holds the values that are b modulo n, so halves fold by exclusive or.
+    y = np.bitwise_xor.reduce(y.reshape(-1, len(x)), axis=0)
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFrame:
@@ -111,13 +129,13 @@ def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFr
             for doc_id, digest, found, rank in zip(ids, digests, seen.sets, seen.classes(packing.answers(one, "classes"))):
                 n = len(found)
                 if not n:
-                    out.append((doc_id, digest, 0, None, None))
+                    out.append((doc_id, digest, 0, None, None, None))
                     continue
                 length = n - (percent * n + 99) // 100 + 1
                 first = np.argsort(rank, kind="stable")[:length]  # ``found`` is sorted: ties in order of the hash
                 prefix = found[first]
                 gkey = _key(np.append(prefix, np.uint64(n)))
-                out.append((doc_id, digest, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), gkey))
+                out.append((doc_id, digest, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), gkey, parity_bitmap(found)))
                 if gkey not in known:
                     known[gkey] = (len(known), n)
                     shared = np.flatnonzero(rank[first])  # class 0 comes first, and no other document can hold it
@@ -128,7 +146,8 @@ def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFr
             yield pa.record_batch({
                 "doc_id": pa.array(columns["doc_id"], pa.int64()), "digest": pa.array(columns["digest"], pa.int64()),
                 "n": pa.array(columns["n"], pa.int64()), "node": pa.array(columns["node"], pa.binary()),
-                "gkey": pa.array(columns["gkey"], pa.int64()), "part": pa.nulls(len(out), pa.int32()),
+                "gkey": pa.array(columns["gkey"], pa.int64()), "parity": pa.array(columns["parity"], pa.binary()),
+                "part": pa.nulls(len(out), pa.int32()),
                 "body": pa.nulls(len(out), pa.binary()), "groups": pa.nulls(len(out), pa.binary()),
             })
             if not tokens:
@@ -147,7 +166,8 @@ def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFr
                 ]
                 yield pa.record_batch({
                     "doc_id": pa.nulls(1, pa.int64()), "digest": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()),
-                    "node": pa.nulls(1, pa.binary()), "gkey": pa.nulls(1, pa.int64()), "part": pa.array([p], pa.int32()),
+                    "node": pa.nulls(1, pa.binary()), "gkey": pa.nulls(1, pa.int64()), "parity": pa.nulls(1, pa.binary()),
+                    "part": pa.array([p], pa.int32()),
                     "body": pa.array([b"".join(len(x).to_bytes(4, "little") + x for x in packed)], pa.binary()),
                     "groups": pa.array([every[used].tobytes()], pa.binary()),
                 })
@@ -183,9 +203,28 @@ def _shared_lists(rows: pd.DataFrame) -> pd.DataFrame:
     same = np.zeros(len(token) + 1, dtype=bool)
     same[1:-1] = token[1:] == token[:-1]
     several = same[1:] | same[:-1]
-    return pd.DataFrame({
-        "token": token[several].view(np.int64), "gkey": gkey[several], "n": n[several], "pos": pos[several],
-    })
+    token, gkey, pos = token[several], gkey[several], pos[several]
+    _, at, count = np.unique(token, return_inverse=True, return_counts=True)
+    return pd.DataFrame({"token": token.view(np.int64), "gkey": gkey, "pos": pos, "held": count[at].astype(np.int64)})
+
+
+def _plausible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of nodes whose parity bitmaps leave room for a link."""
+
+    def run(batches):
+        for batch in batches:
+            sizes = [batch.column(k).to_pylist() for k in (2, 4)]
+            bitmaps = [batch.column(k) for k in (3, 5)]
+            keep = [
+                # Sets of n and m values with a link differ in (n + m) (100 - percent) / (100 + percent) values at most.
+                (100 + percent) * fewest_differences(bitmaps[0][i].as_py(), bitmaps[1][i].as_py()) <= (100 - percent) * (n + m)
+                for i, (n, m) in enumerate(zip(*sizes))
+            ]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    known = members.select("node", "n", "parity")
+    joined = pairs.join(known.toDF("a", "n_a", "parity_a"), "a").join(known.toDF("b", "n_b", "parity_b"), "b")
+    return joined.select("a", "b", "n_a", "parity_a", "n_b", "parity_b").mapInArrow(run, "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -242,66 +281,43 @@ def keyed_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     meta = packed.where("part is null").select(*[c.split()[0] for c in META.split(", ")])
     lists = stored(
         packed.where("part is not null").select("part", "body", "groups").groupBy("part")
-        .applyInPandas(_shared_lists, "token long, gkey long, n int, pos int"), "lists",
+        .applyInPandas(_shared_lists, "token long, gkey long, pos int, held long"), "lists",
+    )
+    nodes = meta.where("node is not null").groupBy("node", "gkey").agg(
+        F.min("digest").alias("digest"), F.min("n").alias("n"), F.first("parity").alias("parity")
     )
-    nodes = meta.where("node is not null").groupBy("node", "gkey").agg(F.min("digest").alias("digest"))
     crowded = nodes.groupBy("gkey").agg(F.count("*").alias("k")).where("k > 1").select("gkey")
     members = stored(nodes.join(lists.select("gkey").union(crowded).distinct(), "gkey", "left_semi"), "members")
-    texts = _needed_texts(rows, members)
+    company = lists.groupBy("gkey").agg(F.sum("held").alias("company"))  # groups met in all lists together
+    places = members.select("gkey", "node", F.col("n").cast("int").alias("n")).join(company, "gkey", "left")
+    shared = lists.select("token", "gkey", "pos").join(places, "gkey")
+    own = places.join(crowded, "gkey", "left_semi").withColumns({"token": F.xxhash64(F.lit("own"), "gkey"), "pos": F.lit(0)})
+    whole = W.partitionBy("token")
+    order = whole.orderBy(F.desc_nulls_last("company"), F.xxhash64("node"), "node")
+    open_lists = stored(shared.unionByName(own).select(
+        "token", "node", "n", "pos", F.count("*").over(whole).cast("int").alias("k"),
+        (F.row_number().over(order) - 1).alias("rank"),
+    ).where("k > 1"), "open")
     labels = stored(members.select("node", F.col("node").alias("comp")), "labels")
-    postings, before = lists.count(), float("inf")
-
-    for turn in range(HUB_ROUNDS + 1):
-        named = members.select("gkey", "node").join(labels, "node").select("node", "gkey", "comp")
-        groups = stored(named.groupBy("gkey").agg(
-            F.min("node").alias("lead"), F.min_by("comp", "node").alias("comp"),
-            (F.min("comp") != F.max("comp")).alias("mixed"),
-        ), "groups")
-        marked = lists.join(groups, "gkey")
-        open_lists = marked.groupBy("token", "comp").agg(
-            F.max("mixed").alias("any_mixed"), F.count("*").alias("k")
-        ).groupBy("token").agg(
-            F.count("*").alias("comps"), F.max("any_mixed").alias("any_mixed"),
-            ((F.sum("k") * F.sum("k") - F.sum(F.col("k") * F.col("k"))) / 2).alias("apart"),
-        ).where("comps > 1 or any_mixed")
-        open_lists = stored(open_lists, "open")
-        left = integer(open_lists, F.sum("apart") + F.count("*"))
-        inside = groups.where("mixed")
-        if not left and inside.isEmpty():
-            break
-        # Before the first hubs most pairs may be links; after them few are, and more may be left to the last round.
-        few = PAIRS_PER_POSTING * (LATER if turn else 1) * postings
-        last = turn == HUB_ROUNDS or left <= few or 2 * left > before
-        before = left
-        marked = stored(marked.join(open_lists.select("token"), "token", "left_semi"), "open")
-        apart = "(l.comp <> r.comp or l.mixed or r.mixed)"
-        if last:
-            pairs = marked.alias("l").join(marked.alias("r"), F.expr(
-                f"l.token = r.token and l.gkey < r.gkey and {apart} and {_possible(percent)}"
-            )).selectExpr("l.gkey as g", "r.gkey as h").distinct()
-            own = named.join(inside.select("gkey"), "gkey", "left_semi").select("node", "gkey", "comp")
-            first = named.toDF("node_a", "g", "comp_a")
-            second = named.toDF("node_b", "h", "comp_b")
-            within = own.toDF("node_a", "g", "comp_a").join(own.toDF("node_b", "g", "comp_b"), "g").where("node_a < node_b")
-            across = pairs.join(first.select("g", "node_a", "comp_a"), "g").join(second.select("h", "node_b", "comp_b"), "h")
-        else:
-            hub = marked.groupBy("token").agg(F.min(F.struct(
-                (F.xxhash64(F.lit(turn), "gkey") if turn else F.col("comp")).alias("turn"),
-                "gkey", "n", "pos", "lead", "comp", "mixed",
-            )).alias("hub")).select("token", "hub.*")
-            pairs = hub.alias("l").join(marked.alias("r"), F.expr(
-                f"l.token = r.token and l.gkey <> r.gkey and {apart} and {_possible(percent)}"
-            )).groupBy(F.col("r.gkey").alias("h"), F.col("l.comp").alias("comp_a"), F.col("l.lead").alias("node_a")).count()
-            # Each group meets the hub that it shares most lists with; the last round misses nothing.
-            pairs = pairs.groupBy("h").agg(F.max(F.struct("count", "comp_a", "node_a")).alias("best")).select("h", "best.comp_a", "best.node_a")
-            second = named.toDF("node_b", "h", "comp_b")
-            across = pairs.join(second, "h")
-            within = inside.selectExpr("lead as node_a", "comp as comp_a", "gkey as h").join(second, "h")
-        chosen = [x.where("comp_a <> comp_b").select(F.col("node_a").alias("a"), F.col("node_b").alias("b")) for x in (across, within)]
-        links = stored(_verified(chosen[0].union(chosen[1]).distinct(), texts, percent), "links")
-        labels = contracted(labels, links)
-        if last:
+    first, after = 0, 1
+    marked = open_lists.withColumn("comp", F.col("node"))
+    while True:
+        apart = f"l.comp <> r.comp and r.rank > l.rank and {_possible(percent)}"
+        hubs = marked.where((F.col("rank") >= first) & (F.col("rank") < after))
+        pairs = hubs.alias("l").join(marked.alias("r"), F.expr(f"l.token = r.token and {apart}"))
+        pairs = pairs.selectExpr("l.node as a", "r.node as b").distinct()
+        candidates = stored(_plausible(pairs, members, percent), "candidates")
+        if not candidates.isEmpty():
+            texts = _texts(rows, members.join(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"))
+            labels = contracted(labels, stored(_verified(candidates, texts, percent), "links"))
+        # What is left: in each list the nodes behind its hubs, where they are of several components.
+        marked = open_lists.where((F.col("k") > after + 1) & (F.col("rank") >= after)).join(labels, "node")
+        several = F.min("comp").over(whole) != F.max("comp").over(whole)
+        marked = stored(marked.withColumn("several", several).where("several").drop("several"), "marked")
+        if marked.isEmpty():
             break
+        open_lists = marked.drop("comp")
+        first, after = after, after + max(1, PAIRS_PER_POSTING * after)
 
     known = meta.where("node is not null")
     per_node = known.groupBy("node").agg(F.min("doc_id").alias("first")).join(labels, "node", "left")
@@ -315,30 +331,32 @@ def keyed_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     )
 
 
-def _needed_texts(rows: DataFrame, members: DataFrame) -> DataFrame:
-    """``node, text`` (compressed) of one document for each node that any list holds.
+def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``node, text`` (compressed) of one document for each wanted node.
 
-    A bitmap of fixed size drops most other texts before the shuffle; the join then is exact.
+    A bitmap of the wanted digests drops most other texts before the shuffle; the join then is exact. Its size follows
+    their number up to 2**BITMAP_BITS bits; beyond some millions of nodes more of the other texts travel, none is lost.
     """
-    wanted = members.groupBy("digest").agg(F.min("node").alias("node"))
-    # Bounded: at most 2**NEEDED_BITS numbers.
-    slots = wanted.select(F.pmod("digest", F.lit(1 << NEEDED_BITS)).cast("int").alias("slot")).distinct().toPandas()["slot"]
-    bitmap = np.zeros(1 << NEEDED_BITS, dtype=bool)
-    bitmap[slots.to_numpy(dtype=np.int64)] = True
-    shared = rows.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    digests = stored(wanted.groupBy("digest").agg(F.min("node").alias("node")), "wanted")
+    bits = min(BITMAP_BITS, max(16, (16 * digests.count()).bit_length()))
+    slot = F.pmod("digest", F.lit(1 << bits))
+    words = digests.groupBy(F.shiftright(slot, 5).alias("at")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, cast(pmod(digest, {1 << bits}) % 32 as int))")).alias("word")
+    ).toPandas()  # at most 2**(BITMAP_BITS - 5) numbers
+    bitmap = np.zeros(1 << (bits - 5), dtype=np.uint32)
+    bitmap[words["at"].to_numpy(dtype=np.int64)] = words["word"].to_numpy(dtype=np.int64).astype(np.uint32)
+    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches):
-        needed = np.unpackbits(shared.value).astype(bool)
         for batch in batches:
-            digest = batch.column(1).to_numpy(zero_copy_only=False)
-            keep = pa.array(needed[digest % np.int64(1 << NEEDED_BITS)])
-            some = batch.filter(keep)
+            slots = batch.column(1).to_numpy(zero_copy_only=False) % np.int64(1 << bits)
+            needed = (shared.value[slots >> 5] >> (slots & 31).astype(np.uint32)) & np.uint32(1)
+            some = batch.filter(pa.array(needed.astype(bool)))
             texts = [packing.squeeze(t) for t in packing.texts_of(some.column(0))]
             yield pa.record_batch({"digest": some.column(1), "text": pa.array(texts, pa.binary())})
 
     every = rows.select("text", "digest").mapInArrow(run, "digest long, text binary")
-    one = every.join(wanted, "digest").groupBy("node").agg(F.first("text").alias("text"))
-    return stored(one, "texts")
+    return stored(every.join(digests, "digest").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 
 @query("op6_shingle_join")
