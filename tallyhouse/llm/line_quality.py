@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 from tallyhouse.llm.common import documents, held_out, load, query, typed
 from tallyhouse.llm.packing import texts_of
 from tallyhouse.llm.rolling import Words
-from tallyhouse.llm.training import labelled_sample
+from tallyhouse.llm.training import fitted_in_task, labelled_sample
 
 PER_CLASS, CHAIN, ROUNDS, PENALTY, BLOCK_BYTES = 1200, 128, 80, 1e-3, 1 << 20
 
@@ -201,10 +201,7 @@ def scores(texts: list[bytes], model: dict) -> np.ndarray:
 
 
 def fit_sample(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> dict:
-    sample = labelled_sample(docs, labels, "quality", per_class).toPandas()
-    sample["data"] = [t.encode() for t in sample["text"]]
-    sample = sample.sort_values(["data", "label"])
-    return fit(list(sample["data"]), sample["label"].to_numpy(dtype=np.int64))
+    return fitted_in_task(labelled_sample(docs, labels, "quality", per_class), fit)
 
 
 def with_score(docs: DataFrame, model: dict, keep: bool = False) -> DataFrame:

@@ -1,7 +1,13 @@
-"""Bounded samples of labelled documents."""
+"""Bounded samples of labelled documents, and fitting on them inside a task."""
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.common import held_out, typed
@@ -22,3 +28,17 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     texts = typed(docs, doc_id="long", text="string").where("text is not null")
     # The sample is at most 2 * per_class pairs of numbers, whatever the size of the labels.
     return texts.join(F.broadcast(picked), "doc_id").select("text", "label")
+
+
+def fitted_in_task(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], Any]) -> Any:
+    """``fit(texts, labels)`` of a ``labelled_sample``, run by one task: the texts never reach the driver, only the model does.
+
+    Rows are sorted before, so the model does not depend on how they were dealt."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = sorted((t.encode(), int(v)) for frame in frames for t, v in zip(frame["text"], frame["label"]))
+        model = fit([t for t, _ in rows], np.array([v for _, v in rows], dtype=np.int64))
+        yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    found = sample.repartition(1).mapInPandas(run, "model binary").collect()  # one row
+    return pickle.loads(found[0]["model"]) if found else fit([], np.zeros(0, dtype=np.int64))
