@@ -97,16 +97,21 @@ def _key(values: np.ndarray) -> int:
     return int.from_bytes(hashlib.blake2b(values.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-META = "doc_id long, digest long, n long, node binary, gkey long, parity binary"
+FOLDED = ("p0", "p1", "p2", "p3")  # the parity bitmap folded to 256 bits
+META = "doc_id long, digest long, n long, node binary, gkey long, parity binary, " + ", ".join(f"{p} long" for p in FOLDED)
 
 
 def parity_bitmap(found: np.ndarray) -> bytes:
-    """One bit per value modulo the bitmap's size, flipped by every value: a power of two of at least 64 bits and 2 a value."""
-    bits = max(64, 1 << int(2 * len(found) - 1).bit_length())
+    """One bit per value modulo the bitmap's size, flipped by every value: a power of two of at least 256 bits and 2 a value."""
+    bits = max(256, 1 << int(2 * len(found) - 1).bit_length())
     odd = np.bincount((mix(found) % np.uint64(bits)).astype(np.int64), minlength=bits).astype(np.uint8) & 1
     return np.packbits(odd).tobytes()
 
 
+def folded(bitmap: bytes) -> tuple[int, ...]:
+    return tuple(np.bitwise_xor.reduce(np.frombuffer(bitmap, np.int64).reshape(-1, len(FOLDED)), axis=0).tolist())
+
+
 def fewest_differences(one: bytes, other: bytes) -> int:
     """Two sets differ in at least so many values. A larger bitmap is folded to the size of the smaller one."""
     x, y = sorted((np.frombuffer(one, np.uint8), np.frombuffer(other, np.uint8)), key=len)
@@ -129,13 +134,14 @@ def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFr
             for doc_id, digest, found, rank in zip(ids, digests, seen.sets, seen.classes(packing.answers(one, "classes"))):
                 n = len(found)
                 if not n:
-                    out.append((doc_id, digest, 0, None, None, None))
+                    out.append((doc_id, digest, 0, None, None, None, *[None] * len(FOLDED)))
                     continue
                 length = n - (percent * n + 99) // 100 + 1
                 first = np.argsort(rank, kind="stable")[:length]  # ``found`` is sorted: ties in order of the hash
                 prefix = found[first]
                 gkey = _key(np.append(prefix, np.uint64(n)))
-                out.append((doc_id, digest, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), gkey, parity_bitmap(found)))
+                bitmap = parity_bitmap(found)
+                out.append((doc_id, digest, n, hashlib.blake2b(found.tobytes(), digest_size=16).digest(), gkey, bitmap, *folded(bitmap)))
                 if gkey not in known:
                     known[gkey] = (len(known), n)
                     shared = np.flatnonzero(rank[first])  # class 0 comes first, and no other document can hold it
@@ -147,7 +153,7 @@ def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFr
                 "doc_id": pa.array(columns["doc_id"], pa.int64()), "digest": pa.array(columns["digest"], pa.int64()),
                 "n": pa.array(columns["n"], pa.int64()), "node": pa.array(columns["node"], pa.binary()),
                 "gkey": pa.array(columns["gkey"], pa.int64()), "parity": pa.array(columns["parity"], pa.binary()),
-                "part": pa.nulls(len(out), pa.int32()),
+                **{p: pa.array(columns[p], pa.int64()) for p in FOLDED}, "part": pa.nulls(len(out), pa.int32()),
                 "body": pa.nulls(len(out), pa.binary()), "groups": pa.nulls(len(out), pa.binary()),
             })
             if not tokens:
@@ -167,7 +173,7 @@ def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFr
                 yield pa.record_batch({
                     "doc_id": pa.nulls(1, pa.int64()), "digest": pa.nulls(1, pa.int64()), "n": pa.nulls(1, pa.int64()),
                     "node": pa.nulls(1, pa.binary()), "gkey": pa.nulls(1, pa.int64()), "parity": pa.nulls(1, pa.binary()),
-                    "part": pa.array([p], pa.int32()),
+                    **{p: pa.nulls(1, pa.int64()) for p in FOLDED}, "part": pa.array([p], pa.int32()),
                     "body": pa.array([b"".join(len(x).to_bytes(4, "little") + x for x in packed)], pa.binary()),
                     "groups": pa.array([every[used].tobytes()], pa.binary()),
                 })
@@ -284,7 +290,8 @@ def keyed_components(docs: DataFrame, percent: int = 80) -> DataFrame:
         .applyInPandas(_shared_lists, "token long, gkey long, pos int, held long"), "lists",
     )
     nodes = meta.where("node is not null").groupBy("node", "gkey").agg(
-        F.min("digest").alias("digest"), F.min("n").alias("n"), F.first("parity").alias("parity")
+        F.min("digest").alias("digest"), F.min("n").alias("n"), F.first("parity").alias("parity"),
+        *[F.min(p).alias(p) for p in FOLDED],  # equal for one node
     )
     crowded = nodes.groupBy("gkey").agg(F.count("*").alias("k")).where("k > 1").select("gkey")
     members = stored(nodes.join(lists.select("gkey").union(crowded).distinct(), "gkey", "left_semi"), "members")
@@ -303,6 +310,10 @@ def keyed_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     marked = open_lists.withColumn("comp", F.col("node"))
     while True:
         apart = f"l.comp <> r.comp and r.rank > l.rank and {_possible(percent)}"
+        if first:
+            # Lists that their first hubs did not connect: folded bitmaps cut pairs where they are formed.
+            differ = " + ".join(f"bit_count(l.{p} ^ r.{p})" for p in FOLDED)
+            apart += f" and {100 + percent} * ({differ}) <= {100 - percent} * (l.n + r.n)"
         hubs = marked.where((F.col("rank") >= first) & (F.col("rank") < after))
         pairs = hubs.alias("l").join(marked.alias("r"), F.expr(f"l.token = r.token and {apart}"))
         pairs = pairs.selectExpr("l.node as a", "r.node as b").distinct()
@@ -311,12 +322,14 @@ def keyed_components(docs: DataFrame, percent: int = 80) -> DataFrame:
             texts = _texts(rows, members.join(candidates.select(F.explode(F.array("a", "b")).alias("node")).distinct(), "node", "left_semi"))
             labels = contracted(labels, stored(_verified(candidates, texts, percent), "links"))
         # What is left: in each list the nodes behind its hubs, where they are of several components.
-        marked = open_lists.where((F.col("k") > after + 1) & (F.col("rank") >= after)).join(labels, "node")
+        marked = open_lists.where((F.col("k") > after + 1) & (F.col("rank") >= after)).join(
+            labels.join(members.select("node", *FOLDED), "node"), "node"
+        )
         several = F.min("comp").over(whole) != F.max("comp").over(whole)
         marked = stored(marked.withColumn("several", several).where("several").drop("several"), "marked")
         if marked.isEmpty():
             break
-        open_lists = marked.drop("comp")
+        open_lists = marked.drop("comp", *FOLDED)
         first, after = after, after + max(1, PAIRS_PER_POSTING * after)
 
     known = meta.where("node is not null")

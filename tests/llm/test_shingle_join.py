@@ -10,7 +10,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 from tallyhouse.llm import shingle_join
-from tallyhouse.llm.shingle_join import fewest_differences, parity_bitmap
+from tallyhouse.llm.shingle_join import fewest_differences, folded, parity_bitmap
 from tests.llm.test_corpus import components
 
 
@@ -81,3 +81,6 @@ def test_parity_never_counts_too_many_differences(one, more, kept):
     low = fewest_differences(parity_bitmap(x), parity_bitmap(y))
     assert low <= len(one ^ other) and (low - len(one ^ other)) % 2 == 0
     assert low == fewest_differences(parity_bitmap(y), parity_bitmap(x))
+    short = sum((a ^ b).bit_count() if (a ^ b) >= 0 else ((a ^ b) + (1 << 64)).bit_count()
+                for a, b in zip(folded(parity_bitmap(x)), folded(parity_bitmap(y))))
+    assert short <= low
