@@ -12,6 +12,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.operators.layout import listed_files, literal_path, plain_path, written_value
+from tallyhouse.operators.relational import small_enough
 from tallyhouse.operators.swaps import Journal, Swap
 from tallyhouse.session import fresh_path
 
@@ -65,10 +66,15 @@ def merge(
     """MERGE: matched rows take the change's columns, unmatched changes are inserted.
 
     Columns the changes do not have keep their old value (NULL on insert). Duplicate change keys
-    are rejected. With few changes both joins broadcast them and the base is never shuffled; a
-    hot base key sits on the streamed side, where adaptive execution may split it.
+    are rejected. A NULL key matches nothing, so a change with one is inserted.
+
+    Changes small enough to be broadcast meet the base twice, once by its keys alone, and the base is never
+    shuffled; a hot base key sits on the streamed side, where adaptive execution may split it. Beyond that size
+    one full outer join reads the base once, and every row says itself whether it is kept, updated or inserted.
     """
     keys = list(keys)
+    if not small_enough(changes):
+        return _merge_once(base, _distinct_or_error(changes, keys), keys, stamp)
     unique = _distinct_or_error(changes, keys)
     values = [c for c in changes.columns if c not in keys]
     marked = unique.select(
@@ -94,6 +100,32 @@ def merge(
     return updated.unionByName(inserted, allowMissingColumns=True)
 
 
+def _merge_once(
+    base: DataFrame, unique: DataFrame, keys: Sequence[str], stamp: tuple[str, Any] | None
+) -> DataFrame:
+    """MERGE as one full outer join with an action column."""
+    values = [c for c in unique.columns if c not in keys]
+    there = base.withColumn("_there", F.lit(True))
+    coming = unique.select(
+        *[F.col(k).alias(f"_k_{k}") for k in keys], *[F.col(c).alias(f"_c_{c}") for c in values], F.lit(True).alias("_hit")
+    )
+    action = F.when(F.col("_hit").isNull(), "keep").when(F.col("_there").isNull(), "insert").otherwise("update")
+    joined = there.join(coming, [F.col(k) == F.col(f"_k_{k}") for k in keys], "full_outer").withColumn("_action", action)
+    new, changed = F.col("_action") == "insert", F.col("_action") != "keep"
+
+    def merged(c: str) -> Column:
+        if c in keys:
+            return F.when(new, F.col(f"_k_{c}")).otherwise(F.col(c)).alias(c)
+        if c in values:
+            return F.when(changed, F.col(f"_c_{c}")).otherwise(F.col(c)).alias(c)
+        if stamp and c == stamp[0]:
+            return F.when(changed, F.lit(stamp[1])).otherwise(F.col(c)).alias(c)
+        return F.col(c)
+
+    extra = [F.when(new, F.col(f"_c_{c}")).alias(c) for c in values if c not in base.columns]
+    return joined.select(*[merged(c) for c in base.columns], *extra)
+
+
 def mor_read(
     base: DataFrame, deletes: DataFrame, upserts: DataFrame, keys: Sequence[str]
 ) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators import changes
 from tallyhouse.operators.constraints import Rules, add_column, check_constraints, with_defaults
 from tallyhouse.session import fresh_path
-from tests.conftest import SPARK_ERRORS, rows
+from tests.conftest import SPARK_ERRORS, final_plan, rows
 
 BASE = "k int, p string, v int"
 ONCE = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
@@ -120,3 +120,27 @@ def test_cow_apply_empties_the_null_partition(spark, tmp_path):
     gone = spark.createDataFrame([(2, None, 6, "D")], "id int, p int, v int, op string")
     changes.cow_apply(spark, path, gone, ["id"], "p")
     assert [r.id for r in spark.read.parquet(path).collect()] == [1]
+
+
+@pytest.mark.parametrize("stamp", [None, ("updated_at", "now")])
+def test_large_and_small_merges_agree(spark, monkeypatch, stamp):
+    table = spark.createDataFrame(
+        [(1, "a", 1, "old"), (1, "b", 2, "old"), (2, "c", 3, "old"), (None, "n", 4, "old")], "k int, p string, v int, updated_at string"
+    )
+    new = spark.createDataFrame([(1, 10), (3, None), (None, 5), (None, 6)], "k int, v int")
+    small = rows(changes.merge(table, new, ["k"], stamp))
+    monkeypatch.setattr(changes, "small_enough", lambda df: False)
+    assert rows(changes.merge(table, new, ["k"], stamp)) == small and len(small) == 7
+    twice = spark.createDataFrame([(2, 20), (2, 21)], "k int, v int")
+    with pytest.raises(SPARK_ERRORS, match="more than one change"):
+        changes.merge(table, twice, ["k"]).collect()
+
+
+def test_a_large_merge_reads_the_base_once(spark):
+    path = fresh_path(spark, "base")
+    spark.range(100).selectExpr("id as k", "id as v").write.parquet(path)
+    many = spark.range(1 << 40).selectExpr("id as k", "id + 1 as v")
+    plan = final_plan(changes.merge(spark.read.parquet(path), many, ["k"]))
+    assert plan.count("FileScan") == 1 and "FullOuter" in plan
+    few = final_plan(changes.merge(spark.read.parquet(path), many.limit(3), ["k"]))
+    assert "FullOuter" not in few
