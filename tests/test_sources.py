@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from tallyhouse import schemas, session
 from tallyhouse.functions import expressions as X
@@ -108,6 +108,19 @@ def test_generated_items_equal_all_pairs_cut(spark, limit):
     )
 
 
+@pytest.mark.parametrize("limit", [3, 5000])
+def test_every_task_hands_on_a_limited_number_of_each_group(spark, limit):
+    """200,000 rows in two tasks, one group with most of them: a task keeps the first ones alone, also above 1000."""
+    df = spark.range(0, 200_000, 1, 2).selectExpr(
+        "(id * 7919) % 200003 as product_id", "case when id % 10 < 8 then 0 else id % 5 end as _class", "'x' as more"
+    )
+    cut = generators.first_of_each(df, "_class", "product_id", limit).withColumn("_task", F.spark_partition_id())
+    assert cut.groupBy("_task", "_class").count().agg(F.max("count")).first()[0] <= limit
+    place = F.row_number().over(W.partitionBy("_class").orderBy("product_id"))
+    first = lambda frame: rows(frame.withColumn("_p", place).where(F.col("_p") <= limit).select(df.columns))
+    assert first(cut) == first(df)
+
+
 def test_generated_items_with_missing_classes(spark):
     orders = generators.gen_orders(generators.sequence(spark, 1, 30), "2024-06-30")
     products = spark.createDataFrame([(10,), (20,), (30,)], "product_id int").withColumn(
