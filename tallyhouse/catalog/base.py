@@ -24,6 +24,11 @@ VIEWS = {
                c_mktsegment as loyalty_tier, n_name as state, r_name as country
         from customer join nation on c_nationkey = n_nationkey
                       join region on n_regionkey = r_regionkey""",
+    "people": """
+        select customer_id, name, email, loyalty_tier, state, country from cust
+        union all
+        select s_suppkey + 1000000000, s_name, null, 'SUPPLIER', n_name, r_name
+        from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
     "ord": """
         select o_orderkey as order_id, o_custkey as customer_id,
                cast(o_orderdate as date) as order_date, o_orderstatus as order_status,
@@ -61,7 +66,7 @@ VIEWS = {
             select *, total_amount + 1, 10, 'I' from ord where order_id % 22 = 0
         ) changes""",
 }
-NEEDS = {"patchy": ("ord",), "log": ("ord",)}
+NEEDS = {"people": ("cust",), "patchy": ("ord",), "log": ("ord",)}
 
 
 def with_views(body: str, *views: str) -> str:

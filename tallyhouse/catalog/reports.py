@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyhouse.catalog.base import query
+from tallyhouse.catalog.base import SQL, query
 from tallyhouse.catalog.relational import (
-    BAND_SQL, BANDS, FLOOR_SQL, FLOORS, ITEM_ORDER, ONE_YEAR, ROLLUP_SQL, STATS_SQL, SUMMARY_SQL,
-    one_year, transactions,
+    BAND_SQL, BANDS, FLOOR_SQL, FLOORS, ITEM_ORDER, ROLLUP_SQL, STATS_SQL, SUMMARY_SQL,
+    people, transactions,
 )
 from tallyhouse.operators import layout
 from tallyhouse.plans import medallion, reports
@@ -114,11 +114,11 @@ def e06(r: Retail) -> DataFrame:
 
 
 def analysis(r: Retail) -> dict[str, DataFrame]:
-    customers = r.customers.select("customer_id", "name", "state", "country")
-    return reports.customer_analysis(customers, one_year(r), fresh_name("customer_summary"))
+    customers = people(r).select("customer_id", "name", "state", "country")
+    return reports.customer_analysis(customers, r.orders, fresh_name("customer_summary"))
 
 
-@query("e07_customer_analysis", SUMMARY_SQL, "cust ord")
+@query("e07_customer_analysis", SUMMARY_SQL, "people ord")
 def e07(r: Retail) -> DataFrame:
     return analysis(r)["summary"]
 
@@ -126,12 +126,17 @@ def e07(r: Retail) -> DataFrame:
 @query(
     "e07_top_customers",
     f"""select * from ({SUMMARY_SQL}) order by total_spent desc nulls last, customer_id limit 10""",
-    "cust ord",
+    "people ord",
 )
 def e07_top(r: Retail) -> DataFrame:
     return analysis(r)["top_customers"]
 
 
+@query("e07_state_totals", SQL["a09_state_summary"])
+def e07_states(r: Retail) -> DataFrame:
+    return analysis(r)["by_state"]
+
+
 @query(
     "e08_daily_sales_report",
     f", {SILVER_SQL}, {DAILY_SQL} select * from daily order by order_date desc limit 10",
@@ -158,13 +163,12 @@ def e11(r: Retail) -> DataFrame:
                count(order_id) as total_orders,
                cast(coalesce(sum(total_amount), 0) as double) as lifetime_value,
                max(order_date) as last_order_date, date '2024-01-15' as summary_date
-        from cust left join (select * from ord where {ONE_YEAR}) using (customer_id)
+        from people left join ord using (customer_id)
         group by 1, 2, 3, 4, 5, 6""",
-    "cust ord",
+    "people ord",
 )
 def e12(r: Retail) -> DataFrame:
-    customers = r.customers.drop("total_purchases")
-    return reports.customer_lifetime(customers, one_year(r), F.lit("2024-01-15").cast("date"))
+    return reports.customer_lifetime(people(r), r.orders, F.lit("2024-01-15").cast("date"))
 
 
 @query(
@@ -172,16 +176,13 @@ def e12(r: Retail) -> DataFrame:
     f"""select state, country, count(distinct customer_id) as customer_count,
                count(order_id) as order_count, cast(sum(total_amount) as double) as total_revenue,
                cast(sum(total_amount) as double) / count(order_id) as avg_order_value
-        from cust left join (select * from ord where {ONE_YEAR}) using (customer_id)
-        where loyalty_tier = 'BUILDING' group by 1, 2
-        having sum(total_amount) > (select sum(total_amount) * 0.008 from ord where {ONE_YEAR})""",
-    "cust ord",
+        from people left join ord using (customer_id) group by 1, 2
+        having sum(total_amount) > (select sum(total_amount) * 0.04 from ord)""",
+    "people ord",
 )
 def e13(r: Retail) -> DataFrame:
-    share = F.sum("total_amount") * F.lit("0.008").cast("decimal(4,3)")
-    floor = one_year(r).agg(share).scalar()
-    chosen = r.customers.where(F.col("loyalty_tier") == "BUILDING")
-    return reports.regional_revenue(chosen, one_year(r), floor)
+    share = F.sum("total_amount") * F.lit("0.04").cast("decimal(4,3)")
+    return reports.regional_revenue(people(r), r.orders, r.orders.agg(share).scalar())
 
 
 @query(
