@@ -36,7 +36,7 @@ from tallyhouse.llm.common import documents, integer, query, stored, typed
 from tallyhouse.llm.components import contracted
 from tallyhouse.llm.rolling import mix, shingle_sets
 
-CELLS_PER_SHINGLE, BLOCK_BITS, POSTINGS_PER_PART = 8, 25, 1 << 21
+CELLS_PER_SHINGLE, BLOCK_BITS, SLICE_BITS, POSTINGS_PER_PART = 8, 25, 22, 1 << 21
 MOST = 1 << 30  # a count stays there, so that it never turns back to 1
 BITMAP_BITS = 25
 PAIRS_PER_POSTING = 3  # in a round, for each hub that a posting has met before; one hub at least
@@ -80,11 +80,19 @@ def frequency_classes(chunks: DataFrame, cells: int) -> DataFrame:
                 })
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(1 << BLOCK_BITS, dtype=np.uint32)
-        for body, counts in zip(group["body"], group["counts"]):
-            cells = packing.unpack_sorted(body, np.uint32)
-            total[cells] = np.minimum(total[cells] + packing.unpack_numbers(counts, np.uint32), MOST)
-        classes = [(4 * np.log2(np.maximum(total[packing.unpack_sorted(b, np.uint32)], 1))).astype(np.uint8) for b in group["body"]]
+        # A block is summed in slices: its cells in use are an eighth of it, so the whole table would be the largest part.
+        cells = [packing.unpack_sorted(body, np.uint32) for body in group["body"]]
+        counts = [packing.unpack_numbers(c, np.uint32) for c in group["counts"]]
+        classes = [np.empty(len(c), dtype=np.uint8) for c in cells]
+        for first in range(0, 1 << BLOCK_BITS, 1 << SLICE_BITS):
+            total = np.zeros(1 << SLICE_BITS, dtype=np.uint32)
+            bounds = np.array([first, first + (1 << SLICE_BITS)], dtype=np.uint32)
+            spans = [slice(*np.searchsorted(c, bounds)) for c in cells]
+            for c, n, span in zip(cells, counts, spans):
+                here = c[span] - np.uint32(first)
+                total[here] = np.minimum(total[here] + n[span], MOST)
+            for c, found, span in zip(cells, classes, spans):
+                found[span] = (4 * np.log2(np.maximum(total[c[span] - np.uint32(first)], 1))).astype(np.uint8)
         return pd.DataFrame({
             "chunk": group["chunk"], "part": group["part"], "bits": [packing.squeeze(c.tobytes()) for c in classes],
         })
@@ -192,26 +200,30 @@ def _columns(body: bytes) -> list[bytes]:
 
 def _shared_lists(rows: pd.DataFrame) -> pd.DataFrame:
     """Postings of the shingles that at least two groups hold."""
-    columns = []
+    columns: tuple[list, list, list] = ([], [], [])
     for body, groups in zip(rows["body"], rows["groups"]):
         token, local, position = _columns(body)
-        known = np.frombuffer(groups, dtype=np.int64).reshape(-1, 2)[packing.unpack_numbers(local, np.uint32)]
-        columns.append((
-            packing.unpack_sorted(token, np.uint64), known[:, 0], known[:, 1].astype(np.int32),
-            packing.unpack_numbers(position, np.uint32).astype(np.int32),
-        ))
-    token, gkey, n, pos = (np.concatenate(c) for c in zip(*columns))
+        known = np.frombuffer(groups, dtype=np.int64).reshape(-1, 2)[:, 0]
+        columns[0].append(packing.unpack_sorted(token, np.uint64))
+        columns[1].append(known[packing.unpack_numbers(local, np.uint32)])
+        columns[2].append(packing.unpack_numbers(position, np.uint32).astype(np.int32))
+    token, gkey, pos = map(np.concatenate, columns)
+    for pieces in columns:
+        pieces.clear()
     turn = np.lexsort((gkey, token))
-    token, gkey, n, pos = token[turn], gkey[turn], n[turn], pos[turn]
+    token, gkey, pos = token[turn], gkey[turn], pos[turn]
+    del turn
     new = np.ones(len(token), dtype=bool)
     new[1:] = (token[1:] != token[:-1]) | (gkey[1:] != gkey[:-1])
-    token, gkey, n, pos = token[new], gkey[new], n[new], pos[new]
+    token, gkey, pos = token[new], gkey[new], pos[new]
     same = np.zeros(len(token) + 1, dtype=bool)
     same[1:-1] = token[1:] == token[:-1]
     several = same[1:] | same[:-1]
     token, gkey, pos = token[several], gkey[several], pos[several]
-    _, at, count = np.unique(token, return_inverse=True, return_counts=True)
-    return pd.DataFrame({"token": token.view(np.int64), "gkey": gkey, "pos": pos, "held": count[at].astype(np.int64)})
+    starts = np.ones(len(token), dtype=bool)
+    starts[1:] = token[1:] != token[:-1]
+    count = np.diff(np.append(np.flatnonzero(starts), len(token)))
+    return pd.DataFrame({"token": token.view(np.int64), "gkey": gkey, "pos": pos, "held": np.repeat(count, count)})
 
 
 def _plausible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
