@@ -80,9 +80,28 @@ def line_features(lines: list[bytes]) -> np.ndarray:
     return out
 
 
+def blocks(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """The texts in order, in runs of about ``BLOCK_BYTES``; a longer text is alone."""
+    at, size = 0, 0
+    for i, t in enumerate(texts):
+        if i > at and size + len(t) > BLOCK_BYTES:
+            yield texts[at:i]
+            at, size = i, 0
+        size += len(t)
+    if len(texts) > at:
+        yield texts[at:]
+
+
 class Chains:
     """Documents as chains of lines, with own and neighbours' features."""
 
+    @classmethod
+    def joined(cls, texts: list[bytes]) -> Chains:
+        """The same chains, made block by block: features take many times the room of their texts while they are made."""
+        parts, whole = [cls(block) for block in blocks(texts)], cls.__new__(cls)
+        whole.lengths, whole.weight, whole.x = (np.concatenate([getattr(p, name) for p in parts]) for name in ("lengths", "weight", "x"))
+        return whole
+
     def __init__(self, texts: list[bytes]):
         split = [t.split(b"\n") for t in texts]
         lines = [x for part in split for x in part]
@@ -144,7 +163,7 @@ def fit(texts: list[bytes], labels: np.ndarray) -> dict:
     n, positive = len(labels), int(labels.sum())
     if positive in (0, n):
         return {"prior": (positive + 1.5) / (n + 2.5) if positive == n else 0.5}
-    chains = Chains(texts)
+    chains = Chains.joined(texts)
     whole = chains.lengths
     doc = np.repeat(np.arange(n), whole)
     cut = np.concatenate([np.append(np.full((k - 1) // CHAIN, CHAIN), k - (k - 1) // CHAIN * CHAIN) for k in whole])
@@ -209,15 +228,7 @@ def with_score(docs: DataFrame, model: dict, keep: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = texts_of(batch.column(1))
-            found, at, size = [], 0, 0
-            for i, t in enumerate(texts):
-                if i > at and size + len(t) > BLOCK_BYTES:
-                    found.append(scores(texts[at:i], model))
-                    at, size = i, 0
-                size += len(t)
-            if len(texts) > at:
-                found.append(scores(texts[at:], model))
+            found = [scores(block, model) for block in blocks(texts_of(batch.column(1)))]
             done = np.concatenate(found) if found else np.zeros(0)
             columns = dict(zip(batch.schema.names[: 2 if keep else 1], batch.columns)) | dict(zip(batch.schema.names[2:], batch.columns[2:]))
             yield pa.record_batch(columns | {"score": pa.array(done, pa.float64())})
