@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.common import documents, query, typed
-from tallyhouse.llm.packing import texts_of
+from tallyhouse.llm.packing import lean, texts_of
 
 LONG_PIECE, KNOWN_PIECES, BATCH_BYTES = 160, 600_000, 4 << 20
 
@@ -213,7 +213,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = encoder.encode([t.decode() for t in texts_of(batch.column(1))])
             yield pa.record_batch({"doc_id": batch.column(0), "ids": pa.array(ids, pa.binary())})
 
-    return typed(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, ids binary")
+    return typed(docs, doc_id="long", text="string").mapInArrow(lean(run), "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, path: str) -> DataFrame:
@@ -242,7 +242,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 "doc_id": batch.column(0), "ids": batch.column(1), "decoded": pa.array(decoded, pa.binary()),
             })
 
-    return encoded.mapInArrow(run, "doc_id long, ids binary, decoded binary")
+    return encoded.mapInArrow(lean(run), "doc_id long, ids binary, decoded binary")
 
 
 def digests(decoded: DataFrame) -> DataFrame:

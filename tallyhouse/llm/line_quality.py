@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.common import documents, held_out, load, query, typed
-from tallyhouse.llm.packing import texts_of
+from tallyhouse.llm.packing import lean, texts_of
 from tallyhouse.llm.rolling import Words
 from tallyhouse.llm.training import fitted_in_task, labelled_sample
 
@@ -234,11 +234,11 @@ def with_score(docs: DataFrame, model: dict, keep: bool = False) -> DataFrame:
             yield pa.record_batch(columns | {"score": pa.array(done, pa.float64())})
 
     if not keep:
-        return typed(docs, doc_id="long", text="string").mapInArrow(run, "doc_id long, score double")
+        return typed(docs, doc_id="long", text="string").mapInArrow(lean(run), "doc_id long, score double")
     rest = [c for c in docs.columns if c not in ("doc_id", "text", "score")]
     rows = docs.select("doc_id", "text", *rest)
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(run, f"{kinds}, score double")
+    return rows.mapInArrow(lean(run), f"{kinds}, score double")
 
 
 @query("op4_line_quality")

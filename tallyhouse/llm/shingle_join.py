@@ -97,7 +97,7 @@ def frequency_classes(chunks: DataFrame, cells: int) -> DataFrame:
             "chunk": group["chunk"], "part": group["part"], "bits": [packing.squeeze(c.tobytes()) for c in classes],
         })
 
-    counted = chunks.mapInArrow(count, "part long, chunk long, body binary, counts binary")
+    counted = chunks.mapInArrow(packing.lean(count), "part long, chunk long, body binary, counts binary")
     return packing.by_chunk(counted.groupBy("part").applyInPandas(add, "chunk long, part long, bits binary"), "classes")
 
 
@@ -186,7 +186,7 @@ def _prefixes(chunks: DataFrame, cells: int, parts: int, percent: int) -> DataFr
                     "groups": pa.array([every[used].tobytes()], pa.binary()),
                 })
 
-    return chunks.mapInArrow(run, schema)
+    return chunks.mapInArrow(packing.lean(run), schema)
 
 
 def _columns(body: bytes) -> list[bytes]:
@@ -242,7 +242,7 @@ def _plausible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
 
     known = members.select("node", "n", "parity")
     joined = pairs.join(known.toDF("a", "n_a", "parity_a"), "a").join(known.toDF("b", "n_b", "parity_b"), "b")
-    return joined.select("a", "b", "n_a", "parity_a", "n_b", "parity_b").mapInArrow(run, "a binary, b binary")
+    return joined.select("a", "b", "n_a", "parity_a", "n_b", "parity_b").mapInArrow(packing.lean(run), "a binary, b binary")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -270,7 +270,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
     one, two = texts.toDF("a", "x"), texts.toDF("b", "y")
     joined = pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, "a binary, b binary")
+    return joined.mapInArrow(packing.lean(run), "a binary, b binary")
 
 
 def _possible(percent: int) -> str:
@@ -380,7 +380,7 @@ def _texts(rows: DataFrame, wanted: DataFrame) -> DataFrame:
             texts = [packing.squeeze(t) for t in packing.texts_of(some.column(0))]
             yield pa.record_batch({"digest": some.column(1), "text": pa.array(texts, pa.binary())})
 
-    every = rows.select("text", "digest").mapInArrow(run, "digest long, text binary")
+    every = rows.select("text", "digest").mapInArrow(packing.lean(run), "digest long, text binary")
     return stored(every.join(digests, "digest").groupBy("node").agg(F.first("text").alias("text")), "texts")
 
 

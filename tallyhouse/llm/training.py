@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from tallyhouse.llm.common import held_out, typed
+from tallyhouse.llm.packing import lean
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
@@ -40,5 +41,5 @@ def fitted_in_task(sample: DataFrame, fit: Callable[[list[bytes], np.ndarray], A
         model = fit([t for t, _ in rows], np.array([v for _, v in rows], dtype=np.int64))
         yield pd.DataFrame({"model": [pickle.dumps(model)]})
 
-    found = sample.repartition(1).mapInPandas(run, "model binary").collect()  # one row
+    found = sample.repartition(1).mapInPandas(lean(run), "model binary").collect()  # one row
     return pickle.loads(found[0]["model"]) if found else fit([], np.zeros(0, dtype=np.int64))
