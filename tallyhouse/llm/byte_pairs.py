@@ -203,9 +203,8 @@ def _shared(spark: SparkSession, path: str):
     return spark.sparkContext.broadcast(Vocabulary.read(path))
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """``doc_id, ids``: the ids of the whole text as little-endian unsigned 32-bit integers."""
-    vocabulary = _shared(docs.sparkSession, path)
+def _encoding(vocabulary, pattern: str):
+    """Batches of (doc_id, text) to batches of (doc_id, ids)."""
 
     def run(batches):
         encoder = Encoder(Vocabulary(*vocabulary.value), pattern)
@@ -213,12 +212,11 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = encoder.encode([t.decode() for t in texts_of(batch.column(1))])
             yield pa.record_batch({"doc_id": batch.column(0), "ids": pa.array(ids, pa.binary())})
 
-    return typed(docs, doc_id="long", text="string").mapInArrow(lean(run), "doc_id long, ids binary")
+    return run
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """``doc_id, ids, decoded``: the bytes that the ids stand for."""
-    vocabulary = _shared(encoded.sparkSession, path)
+def _decoding(vocabulary):
+    """Batches of (doc_id, ids) to batches of (doc_id, ids, decoded)."""
 
     def run(batches):
         import duckdb
@@ -242,7 +240,28 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 "doc_id": batch.column(0), "ids": batch.column(1), "decoded": pa.array(decoded, pa.binary()),
             })
 
-    return encoded.mapInArrow(lean(run), "doc_id long, ids binary, decoded binary")
+    return run
+
+
+IDS, DECODED = "doc_id long, ids binary", "doc_id long, ids binary, decoded binary"
+
+
+def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``doc_id, ids``: the ids of the whole text as little-endian unsigned 32-bit integers."""
+    run = _encoding(_shared(docs.sparkSession, path), pattern)
+    return typed(docs, doc_id="long", text="string").mapInArrow(lean(run), IDS)
+
+
+def decode(encoded: DataFrame, path: str) -> DataFrame:
+    """``doc_id, ids, decoded``: the bytes that the ids stand for."""
+    return encoded.mapInArrow(lean(_decoding(_shared(encoded.sparkSession, path))), DECODED)
+
+
+def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
+    """``decode`` of ``encode`` in one Python process a task in place of two, each with a vocabulary of its own."""
+    vocabulary = _shared(docs.sparkSession, path)
+    there, back = _encoding(vocabulary, pattern), _decoding(vocabulary)
+    return typed(docs, doc_id="long", text="string").mapInArrow(lean(lambda batches: back(there(batches))), DECODED)
 
 
 def digests(decoded: DataFrame) -> DataFrame:
@@ -259,7 +278,7 @@ def tokenized(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return decode(encode(docs, path, public_tokenizers.PATTERN), path)
+    return round_trip(docs, path, public_tokenizers.PATTERN)
 
 
 @query("op8_byte_pairs")

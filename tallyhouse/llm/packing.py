@@ -32,10 +32,11 @@ def give_back() -> None:
 
 
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
-    """A function for ``mapInArrow`` that ends with ``give_back``: Spark keeps a task's Python process for later
+    """A function for ``mapInArrow`` that begins and ends with ``give_back``: Spark keeps a task's Python process for later
     stages, and what it holds on to counts against the executor all that time."""
 
     def wrapped(batches: Iterator) -> Iterator:
+        give_back()
         yield from run(batches)
         give_back()
 
