@@ -43,6 +43,18 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     return wrapped
 
 
+def lean_group(run: Callable) -> Callable:
+    """The same for a function for ``applyInPandas``, around every group."""
+
+    def wrapped(group):
+        give_back()
+        done = run(group)
+        give_back()
+        return done
+
+    return wrapped
+
+
 def squeeze(data: bytes) -> bytes:
     return zstandard.ZstdCompressor(level=1).compress(data)
 
@@ -51,6 +63,11 @@ def unsqueeze(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data)
 
 
+def unsqueezed_size(data: bytes) -> int:
+    """Bytes that ``unsqueeze`` gives; the compressed form begins with it."""
+    return zstandard.frame_content_size(data)
+
+
 def pack_numbers(values: np.ndarray) -> bytes:
     """Byte planes of the numbers, compressed: high bytes of small numbers cost nothing."""
     values = np.ascontiguousarray(values)

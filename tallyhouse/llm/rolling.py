@@ -41,14 +41,18 @@ class _Tables(dict):
 
 
 _POWERS = _Tables()
+LEAST_POWERS, MOST_POWERS = 1 << 18, 1 << 22
 
 
 def _powers(base: int, n: int) -> np.ndarray:
     have = _POWERS.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 20), base, dtype=np.uint64)
+        room = max(LEAST_POWERS, 1 << (n - 1).bit_length()) if n <= MOST_POWERS else n
+        steps = np.full(room, base, dtype=np.uint64)
         steps[0] = 1
-        have = _POWERS[base] = np.cumprod(steps)
+        have = np.cumprod(steps, out=steps)
+        if n <= MOST_POWERS:  # a very long text's powers go when it is done
+            _POWERS[base] = have
     return have[:n]
 
 

@@ -38,7 +38,7 @@ from tallyhouse.llm.rolling import mix, shingle_sets
 
 CELLS_PER_SHINGLE, BLOCK_BITS, SLICE_BITS, POSTINGS_PER_PART = 8, 25, 22, 1 << 21
 MOST = 1 << 30  # a count stays there, so that it never turns back to 1
-BITMAP_BITS = 25
+BITMAP_BITS, VERIFIED_BYTES = 25, 1 << 20
 PAIRS_PER_POSTING = 3  # in a round, for each hub that a posting has met before; one hub at least
 
 
@@ -98,7 +98,7 @@ def frequency_classes(chunks: DataFrame, cells: int) -> DataFrame:
         })
 
     counted = chunks.mapInArrow(packing.lean(count), "part long, chunk long, body binary, counts binary")
-    return packing.by_chunk(counted.groupBy("part").applyInPandas(add, "chunk long, part long, bits binary"), "classes")
+    return packing.by_chunk(counted.groupBy("part").applyInPandas(packing.lean_group(add), "chunk long, part long, bits binary"), "classes")
 
 
 def _key(values: np.ndarray) -> int:
@@ -245,6 +245,19 @@ def _plausible(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "parity_a", "n_b", "parity_b").mapInArrow(packing.lean(run), "a binary, b binary")
 
 
+def _slices(*columns: pa.Array) -> Iterator[slice]:
+    """Rows whose texts (compressed) have ``VERIFIED_BYTES`` together, or one row with longer ones: hashing takes many times that."""
+    first, size = 0, 0
+    for at, row in enumerate(zip(*columns)):
+        more = sum(packing.unsqueezed_size(t.as_py()) for t in row)
+        if at > first and size + more > VERIFIED_BYTES:
+            yield slice(first, at)
+            first, size = at, 0
+        size += more
+    if len(columns[0]):
+        yield slice(first, len(columns[0]))
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs of nodes whose whole texts are similar enough."""
 
@@ -253,11 +266,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             x, y = batch.column(2), batch.column(3)
             found_a, found_b = [], []
-            for at in range(0, len(a), 256):
-                some = slice(at, at + 256)
+            for some in _slices(x, y):
                 first = {k: i for i, k in reversed(list(enumerate(a[some])))}
-                left = dict(zip(first, shingle_sets([packing.unsqueeze(x[at + i].as_py()) for i in first.values()])))
-                right = shingle_sets([packing.unsqueeze(t.as_py()) for t in y[at : at + 256]])
+                left = dict(zip(first, shingle_sets([packing.unsqueeze(x[some.start + i].as_py()) for i in first.values()])))
+                right = shingle_sets([packing.unsqueeze(t.as_py()) for t in y[some]])
                 for ka, kb, other in zip(a[some], b[some], right):
                     one = left[ka]
                     total = len(one) + len(other)
@@ -299,7 +311,7 @@ def keyed_components(docs: DataFrame, percent: int = 80) -> DataFrame:
     meta = packed.where("part is null").select(*[c.split()[0] for c in META.split(", ")])
     lists = stored(
         packed.where("part is not null").select("part", "body", "groups").groupBy("part")
-        .applyInPandas(_shared_lists, "token long, gkey long, pos int, held long"), "lists",
+        .applyInPandas(packing.lean_group(_shared_lists), "token long, gkey long, pos int, held long"), "lists",
     )
     nodes = meta.where("node is not null").groupBy("node", "gkey").agg(
         F.min("digest").alias("digest"), F.min("n").alias("n"), F.first("parity").alias("parity"),

@@ -6,10 +6,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from tallyhouse.llm import shingle_join
+from tallyhouse.llm import packing, rolling, shingle_join
 from tallyhouse.llm.shingle_join import fewest_differences, folded, parity_bitmap
 from tests.llm.test_corpus import components
 
@@ -84,3 +85,18 @@ def test_parity_never_counts_too_many_differences(one, more, kept):
     short = sum((a ^ b).bit_count() if (a ^ b) >= 0 else ((a ^ b) + (1 << 64)).bit_count()
                 for a, b in zip(folded(parity_bitmap(x)), folded(parity_bitmap(y))))
     assert short <= low
+
+
+def test_verified_rows_are_cut_by_bytes():
+    """Pairs of very long texts are hashed one by one, short ones together; every row is in one slice."""
+    texts = [b"a" * n for n in (10, 2 * shingle_join.VERIFIED_BYTES, 5, 7, 0)]
+    column = pa.array([packing.squeeze(t) for t in texts])
+    assert list(shingle_join._slices(column, column)) == [slice(0, 1), slice(1, 2), slice(2, 5)]
+    assert list(shingle_join._slices(column[:0], column[:0])) == []
+
+
+def test_powers_of_a_very_long_text_are_not_kept(monkeypatch):
+    monkeypatch.setattr(rolling, "MOST_POWERS", 1 << 19)
+    long = rolling._powers(5, (1 << 19) + 9)
+    assert int(long[-1]) == pow(5, (1 << 19) + 8, 1 << 64) and 5 not in rolling._POWERS
+    assert int(rolling._powers(5, 300_000)[-1]) == pow(5, 299_999, 1 << 64) and len(rolling._POWERS[5]) == 1 << 19
