@@ -279,44 +279,58 @@ STATS = STATS_SQL.format(v="total_purchases")
 
 @query(
     "e20_load_summary",
-    f"""select 'all' as part, null as value, count(*) as row_count, null as total from cust
-        union all select 'tier', loyalty_tier, count(*), cast(sum(total_purchases) as double)
-                  from cust group by 2
-        union all select 'country', country, count(*), cast(sum(total_purchases) as double)
-                  from cust group by 2
-        union all select 'top', name, 1, cast(total_purchases as double) from
+    f"""select 'all' as part, null as value, count(*) as row_count, null as total,
+               null as average, null as minimum, null as maximum from cust
+        union all select 'tier', loyalty_tier, {STATS} from cust group by 2
+        union all select 'country', country, {STATS} from cust group by 2
+        union all select 'top', name, 1, cast(total_purchases as double), null, null, null from
             (select * from cust order by total_purchases desc, customer_id limit 10)""",
     "cust",
 )
 def e20(r: Retail) -> DataFrame:
     parts = reports.load_summary(r.customers)
-    none, total = F.lit(None).cast("string"), F.col("total").cast("decimal(28,2)").alias("total")
-    return (
-        parts["count"].select(
-            F.lit("all").alias("part"), none.alias("value"), F.col("total_customers").alias("row_count"),
-            F.lit(None).cast("decimal(28,2)").alias("total"),
+
+    def part(name: str, rows: DataFrame, value: str | None, **figures: str) -> DataFrame:
+        wanted = {k: F.col(v) for k, v in figures.items()}
+        return rows.select(
+            F.lit(name).alias("part"), (F.col(value) if value else F.lit(None)).cast("string").alias("value"),
+            wanted.get("row_count", F.lit(1)).cast("bigint").alias("row_count"),
+            *[wanted.get(k, F.lit(None)).cast("double").alias(k) for k in ("total", "average", "minimum", "maximum")],
         )
-        .unionByName(parts["by_tier"].select(
-            F.lit("tier").alias("part"), F.col("loyalty_tier").alias("value"), "row_count", total))
-        .unionByName(parts["by_country"].select(
-            F.lit("country").alias("part"), F.col("country").alias("value"), "row_count", total))
-        .unionByName(parts["top_customers"].select(
-            F.lit("top").alias("part"), F.col("name").alias("value"),
-            F.lit(1).cast("bigint").alias("row_count"),
-            F.col("total_purchases").cast("decimal(28,2)").alias("total")))
+
+    stats = {k: k for k in ("row_count", "total", "average", "minimum", "maximum")}
+    return (
+        part("all", parts["count"], None, row_count="total_customers")
+        .unionByName(part("tier", parts["by_tier"], "loyalty_tier", **stats))
+        .unionByName(part("country", parts["by_country"], "country", **stats))
+        .unionByName(part("top", parts["top_customers"], "name", total="total_purchases"))
     )
 
 
 @query(
     "e21_sample_profile",
-    """select unnest(['customer_id', 'name', 'email', 'state']) as column_name,
-              unnest([0, 0, count(*) filter (email is null), 0]) as null_count from cust""",
+    """select 'rows' as part, null as name, count(*) as number from cust
+       union all select 'column', unnest(['customer_id bigint', 'name string', 'email string', 'state string']), unnest([1, 2, 3, 4])
+       union all select 'nulls', unnest(['customer_id', 'name', 'email', 'state']),
+                        unnest([count(*) filter (customer_id is null), count(*) filter (name is null),
+                                count(*) filter (email is null), count(*) filter (state is null)]) from cust
+       union all select 'sample', '{"customer_id":' || customer_id || ',"name":"' || name || '"' ||
+                        coalesce(',"email":"' || email || '"', '') || ',"state":"' || state || '"}', null
+                 from (select * from cust order by customer_id limit 10)""",
     "cust",
 )
 def e21(r: Retail) -> DataFrame:
-    name = fresh_name("profiled_customers")
-    r.customers.select("customer_id", "name", "email", "state").createOrReplaceTempView(name)
-    return reports.sample_profile(r.spark, name, 10)["nulls"]
+    """Row count, columns with their types, NULL counts and the ten first customers as JSON."""
+    name, columns = fresh_name("profiled_customers"), ("customer_id", "name", "email", "state")
+    r.customers.select(*columns).createOrReplaceTempView(name)
+    profile = reports.sample_profile(r.spark, name, 10, order=["customer_id"])
+    kinds = [("column", f"{f.name} {f.dataType.simpleString()}", k + 1) for k, f in enumerate(profile["columns"])]
+    known = r.spark.createDataFrame([("rows", None, profile["rows"]), *kinds], "part string, name string, number bigint")
+    nulls = profile["nulls"].select(
+        F.lit("nulls").alias("part"), F.col("column_name").alias("name"), F.col("null_count").cast("bigint").alias("number"))
+    sample = profile["sample"].select(
+        F.lit("sample").alias("part"), F.col("json").alias("name"), F.lit(None).cast("bigint").alias("number"))
+    return known.unionByName(nulls).unionByName(sample)
 
 
 @query(

@@ -166,8 +166,10 @@ def load_summary(customers: DataFrame, k: int = 10) -> dict[str, DataFrame]:
     }
 
 
-def sample_profile(spark: SparkSession, table: str, n: int) -> dict[str, Any]:
-    """Whether a table exists and, if so, its row count, schema, NULL profile and first rows as JSON."""
+def sample_profile(spark: SparkSession, table: str, n: int, order: Sequence[str] = ()) -> dict[str, Any]:
+    """Whether a table exists and, if so, its row count, schema, NULL profile and first rows as JSON.
+
+    Without ``order`` the sample is whatever rows come first."""
     if not table_exists(spark, table):
         return {"exists": False}
     df = spark.table(table)
@@ -175,8 +177,9 @@ def sample_profile(spark: SparkSession, table: str, n: int) -> dict[str, Any]:
         "exists": True,
         "rows": df.count(),
         "schema": df.schema.simpleString(),
+        "columns": df.schema.fields,
         "nulls": null_profile(df),
-        "sample": to_json_rows(preview(df, n)),
+        "sample": to_json_rows(preview(df.orderBy(*order) if order else df, n)),
     }
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from decimal import Decimal
 
 import pytest
@@ -143,6 +144,9 @@ def test_customer_analysis_and_profile(spark, orders):
     orders.createOrReplaceTempView(name)
     profile = reports.sample_profile(spark, name, 5)
     assert profile["rows"] == 50 and profile["sample"].count() == 5
+    first = reports.sample_profile(spark, name, 2, order=["order_id"])["sample"].collect()
+    lowest = [r.order_id for r in orders.orderBy("order_id").limit(2).collect()]
+    assert [json.loads(r.json)["order_id"] for r in first] == lowest
 
 
 def test_layers(spark, orders):
