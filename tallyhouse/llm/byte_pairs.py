@@ -22,12 +22,13 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tallyhouse.llm.common import documents, query, typed
 from tallyhouse.llm.packing import lean, texts_of
 
-LONG_PIECE, KNOWN_PIECES, BATCH_BYTES = 160, 600_000, 4 << 20
+LONG_PIECE, KNOWN_PIECES, BATCH_BYTES, PIECES_AT_ONCE = 160, 600_000, 2 << 20, 20_000
 
 CONTRACT = """
 with recursive t(w, p, id, c, step) as (
@@ -140,8 +141,8 @@ class Encoder:
             ids.append(np.array(long))
         short = np.flatnonzero((rank < 0) & (size <= LONG_PIECE))
         short = short[np.argsort(size[short], kind="stable")]
-        for at in range(0, len(short), 60_000):
-            part = short[at : at + 60_000]
+        for at in range(0, len(short), PIECES_AT_ONCE):
+            part = short[at : at + PIECES_AT_ONCE]
             owner, found = self.contract([data[k] for k in part.tolist()])
             length[part] = np.bincount(owner, minlength=len(part))
             whose.append(part[owner])
@@ -188,7 +189,7 @@ class Encoder:
 def _small(batches: Iterator[pa.RecordBatch], column: int, most: int) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` bytes in one column; a longer row comes alone."""
     for batch in batches:
-        sizes = [len(x) if x is not None else 0 for x in batch.column(column).cast(pa.binary()).to_pylist()]
+        sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_pylist()
         at, size = 0, 0
         for i, n in enumerate(sizes):
             if i > at and size + n > most:
