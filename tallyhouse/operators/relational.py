@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from datetime import date
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyhouse.functions.expressions import as_column, day, in_range, rank_of
 from tallyhouse.operators.ordering import number_rows
@@ -191,6 +191,7 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner
 
 
 BUCKET_BYTES = 128 << 20
+WIDTHS = {T.BooleanType: 1, T.ByteType: 1, T.ShortType: 2, T.IntegerType: 4, T.FloatType: 4, T.DateType: 4}
 
 
 def plan_bytes(df: DataFrame) -> int:
@@ -198,10 +199,36 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
+def value_bytes(field: T.StructField) -> Column:
+    """Bytes of a column's value: text and binary by length, nested values by their JSON, others by type."""
+    value = F.col("`" + field.name.replace("`", "``") + "`")
+    kind = field.dataType
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.VariantType)):
+        return F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
+    if isinstance(kind, T.DecimalType):
+        return F.lit(8 if kind.precision <= 18 else 16)
+    return F.lit(WIDTHS.get(type(kind), 8))
+
+
+def data_bytes(df: DataFrame) -> int:
+    """Bytes of a plan's rows, summed in one pass over them.
+
+    Catalyst's estimate multiplies the sizes of joined tables: a lookup of two kilobytes makes a table
+    look two thousand times as large.
+    """
+    width = F.lit(0).cast("bigint")
+    for field in df.schema:
+        width = width + value_bytes(field)
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def bucket_count(*frames: DataFrame, target_bytes: int = BUCKET_BYTES) -> int:
     """Buckets for tables that will be joined with each other: a power of two, so that the largest
-    table's buckets are about ``target_bytes``, and tables with other powers still fit together."""
-    wanted = max(-(-plan_bytes(df) // target_bytes) for df in frames)
+    table's buckets are about ``target_bytes``, and tables with other powers still fit together.
+    Every table is read once for it."""
+    wanted = max(-(-data_bytes(df) // target_bytes) for df in frames)
     return 1 << max(0, wanted - 1).bit_length()
 
 

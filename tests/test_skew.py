@@ -67,6 +67,17 @@ def test_bucket_counts_come_from_bytes(spark):
     assert rel.bucket_count(large, target_bytes=99_999) == 16
 
 
+def test_bucket_counts_of_joined_tables_and_long_texts(spark):
+    """A lookup adds no bytes of its own; texts and lists count by their length, NULL for nothing."""
+    lookup = spark.range(25).select(F.col("id").alias("n"), F.lit("name").alias("name"))
+    joined = spark.range(100_000).join(lookup, F.col("id") % 25 == F.col("n")).select("id")
+    assert rel.bucket_count(joined, target_bytes=100_000) == 8
+    texts = spark.range(1000).select(F.when(F.col("id") < 900, F.lit("\u00e9" * 300)).alias("a.b"))
+    assert rel.data_bytes(texts) == 540_000
+    assert rel.data_bytes(spark.range(10).select(F.array("id").alias("a"))) == 10 * len('{"a":[1]}')
+    assert rel.data_bytes(spark.range(0)) == 0
+
+
 VALUES = {
     "ties": lambda i: i % 7, "one value": lambda i: 3, "NULLs": lambda i: None if i % 3 else i % 5,
     "all NULL": lambda i: None, "distinct": lambda i: i, "a run over many partitions": lambda i: 50 if 20 < i < 380 else i,
