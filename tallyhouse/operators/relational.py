@@ -255,18 +255,42 @@ def bucket_table(df: DataFrame, key: str, buckets: int | None = None, label: str
     return spark.table(name)
 
 
-def salted_pair(left: DataFrame, right: DataFrame, key: str, how: str, cells: int) -> DataFrame:
+def salt_shape(how: str, cells: int, lefts: int = 1, rights: int = 1) -> tuple[int, int]:
+    """Rows and columns of the cells for a key with so many rows on either side: about ``cells`` in all, with the
+    fewest copies, ``lefts * columns + rights * rows``. For a left join the right side is only repeated, never
+    dealt: otherwise a left row would be unmatched in some of its cells."""
+    best = math.sqrt(cells * max(1, rights) / max(1, lefts))
+    columns = 1 if how == "left" else min(cells, max(1, round(best)))
+    return max(1, cells // columns), columns
+
+
+def key_counts(left: DataFrame, right: DataFrame, key: str) -> list[tuple[Any, int, int]]:
+    """Rows per key on either side; for tables of a few keys."""
+    one = left.select(key, F.lit(1).alias("_left"), F.lit(0).alias("_right"))
+    other = right.select(key, F.lit(0).alias("_left"), F.lit(1).alias("_right"))
+    counted = one.unionByName(other).groupBy(key).agg(F.sum("_left"), F.sum("_right"))
+    return [tuple(row) for row in counted.collect()]
+
+
+def salted_pair(
+    left: DataFrame, right: DataFrame, key: str, how: str, cells: int, counts: Sequence[tuple[Any, int, int]] = ()
+) -> DataFrame:
     """Join of rows of a few hot keys, where either side may hold many rows of a key.
 
     Left rows get one of ``rows`` numbers and right rows one of ``columns`` numbers, each from a hash of the
     row; a left row is repeated for all columns and a right row for all rows. Every pair meets in one of
-    about ``cells`` cells per key. For a left join the right side is only repeated, never dealt:
-    otherwise a left row would be unmatched in some of its cells.
+    about ``cells`` cells per key. With ``counts`` (``key_counts``) the cells of a key follow its rows on either
+    side: many rows that meet a single one are dealt and not repeated. Without, both sides count alike.
     """
-    columns = 1 if how == "left" else 1 << (cells.bit_length() // 2)
-    rows = max(1, cells // columns)
-    dealt = lambda df, n: F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    shapes: dict[tuple[int, int], list[Any]] = {}
+    for value, lefts, rights in counts:
+        shapes.setdefault(salt_shape(how, cells, lefts, rights), []).append(value)
+    rows, columns = map(F.lit, salt_shape(how, cells))
+    for (high, wide), values in shapes.items():
+        rows = F.when(F.col(key).isin(values), high).otherwise(rows)
+        columns = F.when(F.col(key).isin(values), wide).otherwise(columns)
+    dealt = lambda df, n: F.pmod(F.xxhash64(*df.columns), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     one = left.withColumn("_salt", dealt(left, rows)).withColumn("_salt2", every(columns))
     other = right.withColumn("_salt2", dealt(right, columns)).withColumn("_salt", every(rows))
     return one.join(other, [key, "_salt", "_salt2"], how).drop("_salt", "_salt2")
@@ -280,7 +304,8 @@ def bucket_join(
     A bucket is read by one task, which is wrong for a key that fills a bucket by itself. Both sides are
     looked at first (one pass over each key column, bounded sketches). Rows of keys that hold
     ``hot_share`` of a side leave their buckets, on both sides, and are joined salted; the keys are sorted in their
-    files, so that part reads little else. All other rows stay in their buckets and are not shuffled.
+    files, so that part reads little else; for an inner join their rows are counted, so that only the fewer ones are
+    repeated. All other rows stay in their buckets and are not shuffled.
     ``hot_share=None`` does not look.
     """
     if how not in ("inner", "left"):
@@ -297,7 +322,9 @@ def bucket_join(
     joined = cold_left.hint("merge").join(cold_right, key, how)
     if found:
         cells = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        joined = joined.unionByName(salted_pair(left.where(hot), right.where(hot), key, how, cells))
+        hot_left, hot_right = left.where(hot), right.where(hot)
+        counts = key_counts(hot_left, hot_right, key) if how == "inner" else ()
+        joined = joined.unionByName(salted_pair(hot_left, hot_right, key, how, cells, counts))
     if lost is not None:
         types = {f.name: f.dataType for f in right.schema}
         joined = joined.unionByName(lost.select("*", *[F.lit(None).cast(types[c]).alias(c) for c in right.columns if c != key]))

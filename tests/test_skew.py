@@ -60,6 +60,34 @@ def test_hot_rows_spread_evenly(spark, hot_side):
     assert dealt < 1.5 * 8000 / (64 // columns)
 
 
+@pytest.mark.parametrize("hot_side", [0, 1])
+def test_many_rows_that_meet_one_are_not_repeated(spark, monkeypatch, no_broadcast, hot_side):
+    many = spark.range(8000).select(F.when(F.col("id") < 6000, 7).otherwise(F.col("id")).alias("k"), F.col("id").alias("x"))
+    few = spark.range(100).select(F.col("id").alias("k"), F.col("id").alias("y"))
+    frames = (many, few) if hot_side == 0 else (few, many)
+    seen, shape = [], rel.salt_shape
+    monkeypatch.setattr(rel, "salt_shape", lambda *a: seen.append((a[2:], shape(*a))) or shape(*a))
+    joined = rel.bucket_join(*[rel.bucket_table(f, "k", 4) for f in frames], "k")
+    assert joined.count() == 6000
+    cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows, columns = dict(seen)[(6000, 1) if hot_side == 0 else (1, 6000)]
+    assert (rows, columns) == ((cells, 1) if hot_side == 0 else (1, cells))
+
+
+def test_each_hot_key_has_cells_of_its_own(spark):
+    """One key is hot on the left, one on the right, one on both, one is on one side alone."""
+    sizes = [(1, 300, 1), (2, 2, 500), (3, 60, 50), (4, 40, 0), (5, 0, 30)]
+    one, other = (
+        spark.createDataFrame([(k, i) for k, *n in sizes for i in range(n[at])], f"k int, {name} int") for at, name in enumerate("xy")
+    )
+    assert sorted(rel.key_counts(one, other, "k")) == sizes
+    for how in ("inner", "left"):
+        got = rel.salted_pair(one, other, "k", how, 16, sizes)
+        assert Counter(map(tuple, got.collect())) == Counter(map(tuple, one.join(other, "k", how).collect()))
+    assert [rel.salt_shape("inner", 16, *n) for _, *n in sizes] == [(16, 1), (1, 16), (4, 4), (16, 1), (1, 16)]
+    assert rel.salt_shape("left", 16, 1, 500) == (16, 1)
+
+
 def test_bucket_counts_come_from_bytes(spark):
     small, large = spark.range(10), spark.range(100_000)
     assert rel.bucket_count(small) == 1
