@@ -260,6 +260,8 @@ def _rewrite(
     dealt = opened.select(*columns, "_group", (F.col("_first") + place).cast("int").alias("_slot"))
     if not sort:
         packed = dealt.repartitionById(slots, F.col("_slot"))
+    elif slots == len(batch):  # a file per group: ranges from a sample of the rows would cut some groups in two
+        packed = dealt.repartitionById(slots, F.col("_slot")).sortWithinPartitions("_group", *sort)
     else:
         # The slot comes last: it only breaks up runs of equal sort values.
         packed = dealt.repartitionByRange(slots, "_group", *sort, "_slot").sortWithinPartitions("_group", *sort)
